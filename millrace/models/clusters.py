@@ -18,7 +18,10 @@ def array_features(df: DataFrame, column: str, output: str = "features") -> Data
 
 
 def fit_kmeans(df: DataFrame, features: str, k: int, *, seed: int, **params) -> KMeansModel:
-    return KMeans(featuresCol=features, k=k, seed=seed, **params).fit(df.select(features))
+    # A frame of just the features is passed on as it is: if the caller keeps it
+    # in memory, MLlib sees that and does not store it a second time.
+    data = df if df.columns == [features] else df.select(features)
+    return KMeans(featuresCol=features, k=k, seed=seed, **params).fit(data)
 
 
 def assign(df: DataFrame, model: KMeansModel) -> DataFrame:

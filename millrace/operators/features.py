@@ -75,6 +75,12 @@ def vector_columns(df: DataFrame, column: str, names: Sequence[str]) -> DataFram
     return df.withColumns({name: array[i] for i, name in enumerate(names)})
 
 
+def sparse_columns(df: DataFrame, column: str, indices: str = "indices", values: str = "values") -> DataFrame:
+    """The stored entries of a sparse vector as two arrays; nothing is widened to the full length."""
+    parts = F.unwrap_udt(F.col(column))
+    return df.withColumns({indices: parts["indices"], values: parts["values"]})
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int) -> list[DataFrame]:
     """Random split; the seed is required so that it can be repeated."""
     return df.randomSplit(list(weights), seed)

@@ -73,6 +73,21 @@ def grid_key(latitude: Column, longitude: Column, digits: int = 1) -> Column:
 
 # --- joins -----------------------------------------------------------------
 
+# Rows up to which a dimension of a few columns is sent to every executor.
+SMALL_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """The frame marked for broadcast if it is counted to have at most ``rows`` rows.
+
+    For dimensions that are themselves joins: their size is estimated as a product
+    and they would be shuffled against the fact however small they are. A larger
+    frame is returned as it is and joined by shuffling; hot keys of such a join are
+    split at run time (adaptive skew join).
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str = "inner") -> DataFrame:
     """Equi-join on shared columns, each key once in the result."""
     return left.join(right, keys, how)

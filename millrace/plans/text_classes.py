@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
@@ -23,13 +25,15 @@ def with_length(df: DataFrame, text: str = "text") -> DataFrame:
 
 def text_stages(
     label: str = "class", text: str = "text", *, vocab_size: int = 1 << 18, buckets: int | None = None,
-    language: str = "english",
+    stop: Sequence[str] | None = None,
 ) -> list:
     """Label index, tokens, stop words, term counts, tf-idf, and the assembled features.
 
     Counts use a vocabulary of the ``vocab_size`` most frequent terms, or hashing
-    into ``buckets``, which needs no vocabulary at all. The input has ``length``.
+    into ``buckets``, which needs no vocabulary at all. ``stop`` defaults to Spark's
+    English stop words. The input has ``length``.
     """
+    stop = stop_words("english") if stop is None else list(stop)
     if buckets:
         counts = HashingTF(inputCol="stop_tokens", outputCol="counts", numFeatures=buckets)
     else:
@@ -37,7 +41,7 @@ def text_stages(
     return [
         StringIndexer(inputCol=label, outputCol="label"),
         Tokenizer(inputCol=text, outputCol="token_text"),
-        StopWordsRemover(inputCol="token_text", outputCol="stop_tokens", stopWords=stop_words(language)),
+        StopWordsRemover(inputCol="token_text", outputCol="stop_tokens", stopWords=stop),
         counts,
         IDF(inputCol="counts", outputCol="tf_idf"),
         VectorAssembler(inputCols=["tf_idf", "length"], outputCol="features"),

@@ -1,7 +1,6 @@
 """Feature columns."""
 
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import features as ops
@@ -63,7 +62,19 @@ def key_split(t):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
-@query("chained_features")
+_SCALED = ", ".join(
+    f"round({x} / (SELECT stddev_samp({x}) FROM coded), 6) AS s{i}"
+    for i, x in enumerate(["is_0", "is_1", "is_2", "is_3", "c_acctbal", "c_nationkey"])
+)
+
+
+@query(
+    "chained_features",
+    f"""WITH coded AS (SELECT c_custkey, c_acctbal, c_nationkey,
+                         {", ".join(f"CAST(segment_index = {i} AS INTEGER)::DOUBLE AS is_{i}" for i in range(4))}
+                       FROM customer JOIN ({_INDEX}) USING (c_mktsegment))
+        SELECT c_custkey, {_SCALED} FROM coded""",
+)
 def chained_features(t):
     """Index, encode, assemble and scale as one fitted chain."""
     stages = [
@@ -73,12 +84,17 @@ def chained_features(t):
         StandardScaler(inputCol="features", outputCol="scaled"),
     ]
     table = t.customer.select("c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
-    return ops.fit_stages(table, stages).transform(table).select(
-        "c_custkey", vector_to_array("features").alias("features"), vector_to_array("scaled").alias("scaled")
-    )
+    names = [f"s{i}" for i in range(6)]
+    scaled = ops.vector_columns(ops.fit_stages(table, stages).transform(table), "scaled", names)
+    return scaled.select("c_custkey", *[F.round(n, 6).alias(n) for n in names])
 
 
-@query("vector_index")
+@query(
+    "vector_index",
+    """SELECT l_orderkey, l_linenumber, l_extendedprice AS price,
+              CAST(dense_rank() OVER (ORDER BY l_discount) - 1 AS DOUBLE) AS discount,
+              CAST(dense_rank() OVER (ORDER BY l_tax) - 1 AS DOUBLE) AS tax FROM lineitem""",
+)
 def vector_index(t):
     """Discounts and taxes have few values and become category indices; prices stay numbers."""
     vectors = ops.assemble(
@@ -86,4 +102,6 @@ def vector_index(t):
         ["l_discount", "l_tax", "l_extendedprice"],
     )
     indexed = ops.index_vector(vectors, "features", "indexed", 16)
-    return indexed.select("l_orderkey", "l_linenumber", vector_to_array("indexed").alias("indexed"))
+    return ops.vector_columns(indexed, "indexed", ["discount", "tax", "price"]).select(
+        "l_orderkey", "l_linenumber", "price", "discount", "tax"
+    )

@@ -147,9 +147,9 @@ def complete_rows(t):
     return ops.complete_rows(gaps, ["c_acctbal", "c_mktsegment"])
 
 
-@query("column_ratio", "SELECT o_orderkey, round(o_totalprice / nullif(o_custkey, 0), 6) AS ratio FROM orders")
+@query("column_ratio", "SELECT o_orderkey, o_totalprice / nullif(o_custkey, 0) AS ratio FROM orders")
 def column_ratio(t):
-    return t.orders.select("o_orderkey", F.round(ops.ratio(F.col("o_totalprice"), F.col("o_custkey")), 6).alias("ratio"))
+    return t.orders.select("o_orderkey", ops.ratio(F.col("o_totalprice"), F.col("o_custkey")).alias("ratio"))
 
 
 @query(

@@ -77,7 +77,7 @@ def stream_top_tags(t):
     return t.spark.sql("SELECT window_start, tag, count FROM millrace_tags")
 
 
-@query("stream_keyword_filter", "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'oreau')")
+@query("stream_keyword_filter", "SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), 'orea')")
 def stream_keyword_filter(t):
     stream = _stream(t, "documents")
-    return run_append(stream.filter(has_keyword(F.col("text"), "Oreau")).select("doc_id", "lang", "source"))
+    return run_append(stream.filter(has_keyword(F.col("text"), "Orea")).select("doc_id", "lang", "source"))

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as ops
-from millrace.operators.features import fit_stages
+from millrace.operators.features import fit_stages, sparse_columns
 from millrace.plans.text_classes import text_stages, with_length
 from millrace.queries.scalars import _TOKENS
 from millrace.registry import query
@@ -100,14 +100,26 @@ def labelled_texts(t):
     return with_length(t.documents.select("doc_id", "text").join(labels, "doc_id"))
 
 
-@query("text_features")
+@query(
+    "text_features",
+    f"""WITH msg AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'bad' END AS class, text, length(text) AS length
+                     FROM documents JOIN labels USING (doc_id)),
+             tokens AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM msg),
+             tf AS (SELECT doc_id, term, count(*) AS tf FROM tokens WHERE term NOT IN ({_STOP}) GROUP BY doc_id, term),
+             df AS (SELECT term, ln(((SELECT count(*) FROM msg) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY term),
+             sums AS (SELECT doc_id, count(*) AS terms, sum(tf * idf) AS weight FROM tf JOIN df USING (term) GROUP BY doc_id),
+             classes AS (SELECT class, row_number() OVER (ORDER BY count(*) DESC, class) - 1 AS label FROM msg GROUP BY class)
+        SELECT doc_id, class, CAST(label AS DOUBLE) AS label, CAST(length AS INTEGER) AS length,
+               CAST(coalesce(terms, 0) AS INTEGER) AS terms, round(coalesce(weight, 0), 4) AS weight
+        FROM msg JOIN classes USING (class) LEFT JOIN sums USING (doc_id)""",
+)
 def text_features(t):
-    """Label index, and size and weight of the tf-idf vector assembled with the text's length."""
+    """Feature table of the labelled texts: label index, and terms and weight of the tf-idf vector."""
     table = labelled_texts(t)
-    fitted = fit_stages(table, text_stages(vocab_size=5000)).transform(table)
-    parts = vector_to_array("features")
-    return fitted.select(
+    fitted = fit_stages(table, text_stages(stop=STOP)).transform(table)
+    weights = sparse_columns(fitted, "tf_idf", "terms", "weights")
+    return weights.select(
         "doc_id", "class", "label", "length",
-        F.size(parts).alias("width"),
-        F.aggregate(parts, F.lit(0.0), lambda s, x: s + x).alias("weight"),
+        F.size("terms").alias("terms"),
+        F.round(F.aggregate("weights", F.lit(0.0), lambda s, x: s + x), 4).alias("weight"),
     )

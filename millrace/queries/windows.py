@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.operators import windows as ops
-from millrace.operators.relational import in_year
+from millrace.operators.relational import in_year, small_side
 from millrace.registry import query
 
 _DAILY = """
@@ -45,7 +45,7 @@ def daily_quantity(t, year=None):
     lines = t.lineitem.select("l_suppkey", "l_shipdate", "l_quantity")
     if year is not None:
         lines = lines.filter(in_year("l_shipdate", year - 1, year))
-    joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    joined = lines.join(small_side(suppliers), F.col("l_suppkey") == F.col("s_suppkey"))
     return ops.daily_mean(joined, ["city"], F.col("l_shipdate"), F.col("l_quantity"))
 
 

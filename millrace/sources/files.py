@@ -41,7 +41,8 @@ def scan_csv_skip(spark: SparkSession, path: str, skip: int, schema: Schema | No
 
     Line numbers are only needed at the head of each file, i.e. in its first
     split, where the running row id grows by one a line. The ids of the first
-    lines form a table of one row per file; everything else is a plain scan.
+    lines form a table of one row per file (smaller than the list of files the
+    driver holds for any scan, hence broadcast); everything else is a plain scan.
     """
     lines = spark.read.text(path).select(
         "value",
@@ -55,7 +56,7 @@ def scan_csv_skip(spark: SparkSession, path: str, skip: int, schema: Schema | No
         .agg(F.min("line_id").alias("first_id"))
     )
     line_number = F.when(F.col("block_start") == 0, F.col("line_id") - F.col("first_id"))
-    numbered = lines.join(heads, "file").withColumn("line_number", line_number)
+    numbered = lines.join(F.broadcast(heads), "file").withColumn("line_number", line_number)
     if schema is None:
         header = (
             numbered.filter(F.col("line_number") == skip)

@@ -8,6 +8,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import one_per_key
+
 _BLANKS = " \t\n\x0b\f\r"
 
 
@@ -84,16 +86,14 @@ def tf_idf(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     """Term frequency, ``ln((N+1)/(docs+1))`` and their product: key, term, tf, idf, tf_idf.
 
     The whole vocabulary is used. Term statistics are joined by term; a term in a
-    third of all rows is a skewed join key, which adaptive execution splits
-    (the statistics side has one row per term). N is a scalar subquery.
+    third of all rows is a skewed join key, which adaptive execution splits (see
+    ``one_per_key``). N is a scalar subquery.
     """
     tokenized = df.select(key, tokens.alias("_tokens"))
     total = df.select(F.count(F.lit(1))).scalar()
-    docs = (
-        tokenized.select(F.explode(F.array_distinct("_tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("_docs"))
-        .select("term", F.log((total + 1) / (F.col("_docs") + 1)).alias("idf"))
+    terms = tokenized.select(F.explode(F.array_distinct("_tokens")).alias("term"))
+    docs = one_per_key(terms, ["term"], F.count(F.lit(1)).alias("_docs")).select(
+        "term", F.log((total + 1) / (F.col("_docs") + 1)).alias("idf")
     )
     counts = (
         tokenized.select(key, F.explode("_tokens").alias("term"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType, IntegerType, LongType
 
 # Factors of the two unit conversions.
 WEIGHT_FACTOR = 0.45
@@ -18,7 +19,7 @@ MILEAGE_FACTOR = 0.425
 def scaled(factor: float):
     """Vectorised UDF multiplying by ``factor``; the result is single precision."""
 
-    @F.pandas_udf("float")
+    @F.pandas_udf(FloatType())
     def scale(values: pd.Series) -> pd.Series:
         return values * factor
 
@@ -30,13 +31,13 @@ def scaled_native(column: Column, factor: float) -> Column:
     return (column * F.lit(factor)).cast("float")
 
 
-@F.udf("bigint", useArrow=True)
+@F.udf(LongType(), useArrow=True)
 def doubled(value):
     """Twice a whole number; 64 bits wide, so totals past 2^30 do not overflow."""
     return None if value is None else value * 2
 
 
-@F.udf("int", useArrow=True)
+@F.udf(IntegerType(), useArrow=True)
 def token_count(tokens):
     """Length of a token list; ``size`` is the native form."""
     return None if tokens is None else len(tokens)

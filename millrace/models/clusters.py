@@ -11,6 +11,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.relational import one_per_key
+
 
 def array_features(df: DataFrame, column: str, output: str = "features") -> DataFrame:
     """Number array to vector."""
@@ -60,6 +62,6 @@ def wssse(df: DataFrame, features: str, cluster: str) -> DataFrame:
     Means come from mergeable partial sums, so a cluster may hold any share of
     the rows; the table of means has one row per cluster.
     """
-    means = df.groupBy(cluster).agg(vector_to_array(Summarizer.mean(F.col(features))).alias("_center"))
+    means = one_per_key(df, [cluster], vector_to_array(Summarizer.mean(F.col(features))).alias("_center"))
     distance = squared_distance(vector_to_array(F.col(features)), F.col("_center"))
     return df.join(means, cluster).agg(F.sum(distance).alias("cost"))

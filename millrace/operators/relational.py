@@ -93,13 +93,28 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: s
     return left.join(right, keys, how)
 
 
+def one_per_key(df: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """One row for each key, for a join on the keys with a table that may be skewed.
+
+    Rows are grouped by the keys and a hash of them, which makes the same groups
+    but leaves the result not partitioned by the keys. The join then shuffles both
+    sides itself, and only such a join can have its hot keys split at run time:
+    with an aggregate between shuffle and join, adaptive execution leaves the
+    skew alone.
+    """
+    grouping = [*keys, F.xxhash64(*keys).alias("_apart")]
+    if not aggregates:
+        return df.select(*grouping).distinct().drop("_apart")
+    return df.groupBy(*grouping).agg(*aggregates).drop("_apart")
+
+
 def matched_only(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``left`` whose key occurs in ``right``.
 
-    The right keys are reduced to one row each before they are shuffled, so a key
-    that fills a third of ``right`` costs no more than any other.
+    The right keys are reduced to one row each in the tasks before they are
+    shuffled, so a key that fills a third of ``right`` costs no more than any other.
     """
-    return left.join(right.select(*keys).distinct(), list(keys), "left_semi")
+    return left.join(one_per_key(right, keys), list(keys), "left_semi")
 
 
 def enrich(fact: DataFrame, dimension: DataFrame, keys: Sequence[str], *, dedupe: bool = False) -> DataFrame:
@@ -107,11 +122,7 @@ def enrich(fact: DataFrame, dimension: DataFrame, keys: Sequence[str], *, dedupe
     (the multiplicity is kept) unless ``dedupe`` leaves one row of each key."""
     if dedupe:
         values = [c for c in dimension.columns if c not in keys]
-        dimension = (
-            dimension.groupBy(*keys)
-            .agg(F.min(F.struct(*values)).alias("_row"))
-            .select(*keys, "_row.*")
-        )
+        dimension = one_per_key(dimension, keys, F.min(F.struct(*values)).alias("_row")).select(*keys, "_row.*")
     return fact.join(dimension, list(keys), "inner")
 
 

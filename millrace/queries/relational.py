@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions.text import term_counts, words
 from millrace.operators import relational as ops
 from millrace.registry import query
-from millrace.sources.files import union_all
+from millrace.sources.files import spread, union_all
 from millrace.sources.sinks import register_view
 
 # Meal names of the codes 0 to 31, and the name for a missing code.
@@ -245,7 +245,7 @@ def argmax_row(t):
         GROUP BY word ORDER BY count DESC, word LIMIT 10""",
 )
 def top_k_tokens(t):
-    counts = term_counts(t.documents, words(F.col("text")), "word")
+    counts = term_counts(spread(t.documents.select("text")), words(F.col("text")), "word")
     return ops.first_n(counts, 10, F.col("count").desc(), "word")
 
 

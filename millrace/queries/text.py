@@ -10,6 +10,7 @@ from millrace.operators.features import fit_stages, sparse_columns
 from millrace.plans.text_classes import text_stages, with_length
 from millrace.queries.scalars import _TOKENS
 from millrace.registry import query
+from millrace.sources.files import spread
 
 STOP = ["and", "the", "of", "in", "with", "that", "is", "le", "la", "un", "der", "und"]
 _STOP = ", ".join(f"'{w}'" for w in STOP)
@@ -21,7 +22,7 @@ _STOP = ", ".join(f"'{w}'" for w in STOP)
           (SELECT doc_id, {_TOKENS} AS tokens FROM documents)""",
 )
 def tokenize(t):
-    tokens = t.documents.select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("tokens"), F.get("tokens", F.lit(0)).alias("first_token"))
 
 
@@ -32,7 +33,7 @@ def tokenize(t):
            FROM documents)""",
 )
 def tokenize_regex(t):
-    tokens = t.documents.select("doc_id", ops.tokenize_regex(F.col("text"), r"\W").alias("tokens"))
+    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize_regex(F.col("text"), r"\W").alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("tokens"), F.get("tokens", F.lit(0)).alias("first_token"))
 
 
@@ -43,7 +44,7 @@ def tokenize_regex(t):
             (SELECT doc_id, {_TOKENS} AS tokens FROM documents))""",
 )
 def stopword_removal(t):
-    tokens = t.documents.select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     return tokens.select(
         "doc_id", F.size("tokens").alias("tokens"), F.size(ops.remove_stopwords(F.col("tokens"), STOP)).alias("kept")
     )
@@ -56,14 +57,14 @@ def stopword_removal(t):
         GROUP BY bigram""",
 )
 def bigrams(t):
-    tokens = t.documents.select(ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = spread(t.documents.select("text")).select(ops.tokenize(F.col("text")).alias("tokens"))
     return ops.term_counts(tokens, ops.ngrams(F.col("tokens"), 2), "bigram")
 
 
 @query("hashing_tf")
 def hashing_tf(t):
     """Term frequencies hashed into 20 buckets."""
-    tokens = t.documents.select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=20).transform(tokens)
     return hashed.select("doc_id", vector_to_array("tf").alias("tf"))
 
@@ -77,7 +78,7 @@ def hashing_tf(t):
 )
 def vocabulary_counts(t):
     """The 1,000 most frequent terms of two documents or more, numbered."""
-    terms = ops.vocabulary(t.documents, ops.tokenize(F.col("text")), size=1000, min_docs=2)
+    terms = ops.vocabulary(spread(t.documents.select("text")), ops.tokenize(F.col("text")), size=1000, min_docs=2)
     position = F.row_number().over(Window.orderBy(F.col("count").desc(), "term")) - 1
     return terms.withColumn("index", position)
 
@@ -90,7 +91,7 @@ def vocabulary_counts(t):
         SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf FROM tf JOIN df USING (term)""",
 )
 def tf_idf(t):
-    table = ops.tf_idf(t.documents, "doc_id", ops.tokenize(F.col("text")))
+    table = ops.tf_idf(spread(t.documents.select("doc_id", "text")), "doc_id", ops.tokenize(F.col("text")))
     return table.withColumns({"idf": F.round("idf", 6), "tf_idf": F.round("tf_idf", 6)})
 
 

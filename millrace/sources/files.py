@@ -141,3 +141,14 @@ def coerce(df: DataFrame, types: Mapping[str, str], fill=0) -> DataFrame:
 def range_source(spark: SparkSession, start: int, end: int) -> DataFrame:
     """Integers from ``start`` up to but not including ``end``, in column ``id``."""
     return spark.range(start, end)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt out to all cores.
+
+    For work that is heavy on the processor (text, iterative fits) on files too few
+    to keep the cores busy. A scan with enough splits, as any large one has, is
+    returned as it is and never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

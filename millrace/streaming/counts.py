@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import words
+from millrace.functions.text import explode_terms, term_counts, words
 from millrace.streaming.runs import run_to_table, stored_batches
 
 
@@ -13,7 +13,7 @@ def word_count(stream: DataFrame, text: str) -> DataFrame:
     """Words of each micro-batch on its own: batch_id, word, count. Nothing is carried over."""
 
     def count(batch: DataFrame) -> DataFrame:
-        return batch.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").count()
+        return term_counts(batch, words(F.col(text)), "word")
 
     path = run_to_table(
         stream.select(text), "word STRING, count BIGINT", mode="append", per_batch=count, label="word-count"
@@ -31,7 +31,7 @@ def tags(df: DataFrame, text: str, time: str, prefix: str) -> DataFrame:
     """One row for each word that starts with ``prefix``, case ignored: time, tag."""
     word = F.lower(F.col("_word"))
     return (
-        df.select(F.col(time), F.explode(words(F.col(text))).alias("_word"))
+        explode_terms(df, words(F.col(text)), time, term="_word")
         .select(time, word.alias("tag"))
         .filter(F.startswith(F.col("tag"), F.lit(prefix.lower())))
     )

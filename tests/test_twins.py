@@ -32,25 +32,20 @@ def test_every_twin_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(TWINS))
 def test_twin(spark, duck, name):
-    ours = canonical(QUERIES[name](spark, SMALL).toArrow())
+    df = QUERIES[name](spark, SMALL)
+    ours = canonical(df.toArrow())
     theirs = canonical(duck.sql(TWINS[name]).to_arrow_table())
     assert ours[0] == theirs[0]
     assert ours[1] == theirs[1]
     assert ours[2] == theirs[2]
     assert ours[2]
+    # No plan forms all pairs, and Python runs on Arrow batches only.
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
 
 
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.count() == 1678
     assert df.columns == ["city", "year", "month", "day", "date", "mean", "lag", "delta"]
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pairwise_join_or_row_udf(spark, name):
-    """No plan forms all pairs, and Python runs on Arrow batches only."""
-    if name in ("kmeans_sweep", "compare_models"):  # results of fits, nothing to plan
-        return
-    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
-        assert operator not in plan

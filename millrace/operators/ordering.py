@@ -57,11 +57,8 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequen
     range-partitioned, and only the ranges that hold a wanted rank are sorted.
     Nulls are ignored.
     """
-    values = df.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-        ]))
-    ).filter(F.col("value").isNotNull())
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    values = numbers.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
     counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     ranged = _ranged(counted, [F.col("column"), F.col("value")], "quantiles")
 

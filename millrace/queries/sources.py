@@ -174,6 +174,6 @@ def sql_select_all(t):
 )
 def range_map_filter(t):
     """Whole numbers up to the highest order key, minus one, those below 9 modulo 10."""
-    end = t.orders.agg(F.max("o_orderkey")).first()[0]
+    end = t.orders.agg(F.max("o_orderkey")).first()[0] or 1
     mapped = files.range_source(t.spark, 1, end).select((F.col("id") - 1).alias("id"))
     return mapped.filter(F.col("id") % 10 < 9)

@@ -1,4 +1,9 @@
-"""Every query with a SQL twin gives the same columns, types and values as DuckDB."""
+"""Every query with a SQL twin gives the same columns, types and values as DuckDB.
+
+``TABLES_DIR`` names another folder of tables to run the twins on.
+"""
+
+import os
 
 import duckdb
 import pytest
@@ -10,13 +15,14 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
 QUERIES, TWINS = entry.queries(), entry.oracle_sql()
+FOLDER = os.environ.get("TABLES_DIR", SMALL)
 
 
 @pytest.fixture(scope="module")
 def duck():
     connection = duckdb.connect()
     for name in TABLES:
-        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return connection
 
 
@@ -32,7 +38,7 @@ def test_every_twin_has_a_query():
 
 @pytest.mark.parametrize("name", sorted(TWINS))
 def test_twin(spark, duck, name):
-    df = QUERIES[name](spark, SMALL)
+    df = QUERIES[name](spark, FOLDER)
     ours = canonical(df.toArrow())
     theirs = canonical(duck.sql(TWINS[name]).to_arrow_table())
     assert ours[0] == theirs[0]

@@ -24,15 +24,18 @@ def fill(df: DataFrame, value, subset: Sequence[str] | None = None) -> DataFrame
     return df.na.fill(value, list(subset) if subset and not isinstance(value, dict) else None)
 
 
-def fill_mean(df: DataFrame, column: str) -> DataFrame:
-    """Fill nulls with the column's mean, as double.
+def fill_mean(df: DataFrame, *columns: str) -> DataFrame:
+    """Fill nulls with each column's mean, as double.
 
-    The mean is a scalar subquery: one partial aggregate, then a constant in the
-    plan of the second scan; it does not pass through the driver program.
+    The means are scalar subqueries: one partial aggregate (Spark merges those of
+    several columns into one), then constants in the plan of the second scan; they
+    do not pass through the driver program.
     """
-    value = F.col(column).cast("double")
-    mean = df.select(F.avg(value)).scalar()
-    return df.withColumn(column, F.coalesce(value, mean))
+    filled = {}
+    for column in columns:
+        value = F.col(column).cast("double")
+        filled[column] = F.coalesce(value, df.select(F.avg(value)).scalar())
+    return df.withColumns(filled)
 
 
 def duplicate_count(df: DataFrame, output: str = "duplicates") -> DataFrame:

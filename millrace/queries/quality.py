@@ -94,7 +94,7 @@ def fill_dict(t):
 )
 def fill_mean(t):
     table = gaps(t).select("key", "nation", "balance")
-    return rounded(ops.fill_mean(ops.fill_mean(table, "nation"), "balance"))
+    return rounded(ops.fill_mean(table, "nation", "balance"))
 
 
 @query(

@@ -73,7 +73,9 @@ def test_one_task_window_only_over_calendar_cuts(spark):
 
 
 def test_scalars_stay_in_the_plan(spark):
-    assert "Subquery" in plan(QUERIES["fill_mean"](spark, SMALL))
+    """Both means come from one merged subquery, used twice."""
+    text = final_plan(QUERIES["fill_mean"](spark, SMALL))
+    assert "ReusedSubquery" in text and text.split("== Initial Plan ==")[0].count("partial_avg") == 2
 
 
 @pytest.fixture

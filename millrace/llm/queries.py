@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import substring_dedup
+from millrace.llm import bpe, substring_dedup, suffix_dedup
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,13 @@ def query(name: str, sql: str | None = None):
 )
 def op1_substring_dedup(spark, folder):
     return substring_dedup.repeat_digests(table(spark, folder, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark, folder):
+    return suffix_dedup.repeat_digests(table(spark, folder, "documents"))
+
+
+@query("op9_bpe")
+def op9_bpe(spark, folder):
+    return bpe.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

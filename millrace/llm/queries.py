@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, substring_dedup, suffix_dedup
+from millrace.llm import bpe, language_id, substring_dedup, suffix_dedup
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,11 @@ def op1_substring_dedup(spark, folder):
     return substring_dedup.repeat_digests(table(spark, folder, "documents"))
 
 
+@query("op2_language_id")
+def op2_language_id(spark, folder):
+    return language_id.identify(table(spark, folder, "documents"))
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, folder):
     return suffix_dedup.repeat_digests(table(spark, folder, "documents"))

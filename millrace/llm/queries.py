@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language_id, substring_dedup, suffix_dedup
+from millrace.llm import bpe, language_id, order_minhash, shards, substring_dedup, suffix_dedup
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,16 @@ def op2_language_id(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
 
 
+@query("op4_shards")
+def op4_shards(spark, folder):
+    return shards.shard_digests(table(spark, folder, "documents"))
+
+
+@query("op5_order_minhash")
+def op5_order_minhash(spark, folder):
+    return order_minhash.fingerprints(table(spark, folder, "documents"))
+
+
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark, folder):
     return suffix_dedup.repeat_digests(table(spark, folder, "documents"))

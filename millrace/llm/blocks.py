@@ -7,6 +7,7 @@ are maximal runs of bytes other than 0x20 and 0x09-0x0D.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,13 @@ _LETTERS = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=U64)
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+WORD = LETTER.copy()
+WORD[48:58] = True
+
 _tables: dict[int, np.ndarray] = {}
 
 
@@ -100,6 +108,44 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix(out)
 
 
+@dataclass
+class Words:
+    """Folded words of a block: the bytes in lower case (zero between words) and the words' places."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray  # a text's first word; one more than texts
+
+
+def folded_words(data: np.ndarray, offsets: np.ndarray, letter: np.ndarray = WORD) -> Words:
+    """Maximal runs of ``letter`` bytes in lower case (ASCII, and capitals from U+00C0 to U+00DE)."""
+    inside = letter[data]
+    low = _LOWER[data]
+    upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
+    low[upper] += 0x20
+    before = np.zeros(len(data) + 1, bool)
+    before[1:] = inside
+    before[offsets] = False
+    starts = np.flatnonzero(inside & ~before[:-1])
+    after = np.zeros(len(data) + 1, bool)
+    after[:-1] = inside
+    after[offsets] = False
+    ends = np.flatnonzero(inside & ~after[1:]) + 1
+    return Words(np.where(inside, low, 0).astype(np.uint8), starts, ends, np.searchsorted(starts, offsets))
+
+
+def gram_hashes(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, text, word) of every run of ``n`` words that stays within its text."""
+    if len(hashes) < n:
+        none = np.zeros(0, np.int64)
+        return none.astype(U64), none, none
+    grams = mix(fixed_hash(prefix_hash(hashes), n))
+    text = np.searchsorted(first, np.arange(len(grams)), "right") - 1
+    good = np.flatnonzero(np.arange(len(grams)) + n <= first[text + 1])
+    return grams[good], text[good], good
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of ``values[i:i + width]`` for every i, by doubling."""
     if len(values) < width:

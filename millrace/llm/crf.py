@@ -132,7 +132,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> n
 
 def fit(
     features: np.ndarray, owner: np.ndarray, types: np.ndarray, labels: np.ndarray, first: np.ndarray,
-    states: int, width: int, rounds: int, rate: float = 0.5, decay: float = 1e-4,
+    states: int, width: int, rounds: int, rate: float = 0.5, decay: float = 1e-6,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(weights, transitions) that maximise the likelihood of the labels, by AdaGrad over all sequences.
 
@@ -140,7 +140,7 @@ def fit(
     """
     kinds = int(types.max()) + 1
     weights, transitions = np.zeros((width, states)), np.zeros((states, states))
-    seen_w, seen_t = np.full_like(weights, 1e-6), np.full_like(transitions, 1e-6)
+    seen_w, seen_t = np.full_like(weights, 1e-12), np.full_like(transitions, 1e-12)
     truth = np.eye(states)[labels]
     inner = np.ones(len(labels), bool)
     inner[first[:-1]] = False

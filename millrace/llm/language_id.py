@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import crf
-from millrace.llm.blocks import U64, blocks, byte_prefix, mix, ranges, span_hash
+from millrace.llm.blocks import LETTER, U64, Words, blocks, byte_prefix, folded_words, mix, ranges, span_hash
 from millrace.llm.settings import tuned
 
 PER_LANGUAGE, TRAIN_BYTES = 150, 8000
@@ -37,40 +37,14 @@ LEXICON = 1 << 18
 ROUNDS = 12
 UNKNOWN = "und"
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
-
 
 def held_out() -> Column:
     """Documents no fit may see."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(3)) == 1
 
 
-@dataclass
-class Words:
-    data: np.ndarray  # lower case, zero between words
-    starts: np.ndarray
-    ends: np.ndarray
-    first: np.ndarray  # a text's first word
-
-
 def letter_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    letter = _LETTER[data]
-    low = _LOWER[data]
-    # Two-byte Latin capitals (U+00C0 to U+00DE) become small letters.
-    upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
-    low[upper] += 0x20
-    before = np.zeros(len(data) + 1, bool)
-    before[1:] = letter
-    before[offsets] = False
-    starts = np.flatnonzero(letter & ~before[:-1])
-    after = np.zeros(len(data) + 1, bool)
-    after[:-1] = letter
-    after[offsets] = False
-    ends = np.flatnonzero(letter & ~after[1:]) + 1
-    return Words(np.where(letter, low, 0).astype(np.uint8), starts, ends, np.searchsorted(starts, offsets))
+    return folded_words(data, offsets, LETTER)
 
 
 def affixes(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -196,7 +170,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                 best = share.argmax(1)
                 state = posterior.argmax(1)
                 turn = np.concatenate([[0], np.cumsum(state[1:] != state[:-1])]) if len(state) else np.zeros(0, np.int64)
-                ascii_letters = np.concatenate([[0], np.cumsum(_LETTER[data] & (data < 128))])
+                ascii_letters = np.concatenate([[0], np.cumsum(LETTER[data] & (data < 128))])
                 plain = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
                 for i in np.flatnonzero(counts).tolist():
                     text = data[offsets[i] : offsets[i + 1]]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, language_id, order_minhash, shards, substring_dedup, suffix_dedup
+from millrace.llm import bpe, decontamination, language_id, licenses, order_minhash, secrets, shards, substring_dedup, suffix_dedup
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,12 @@ def op2_language_id(spark, folder):
     return language_id.identify(table(spark, folder, "documents"))
 
 
+@query("op3_decontamination")
+def op3_decontamination(spark, folder):
+    found = decontamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "score", "first_word", "end_word")
+
+
 @query("op4_shards")
 def op4_shards(spark, folder):
     return shards.shard_digests(table(spark, folder, "documents"))
@@ -66,6 +72,16 @@ def op6_suffix_dedup(spark, folder):
     return suffix_dedup.repeat_digests(table(spark, folder, "documents"))
 
 
+@query("op7_secrets")
+def op7_secrets(spark, folder):
+    return secrets.scan_digests(table(spark, folder, "documents"))
+
+
+@query("op8_licenses")
+def op8_licenses(spark, folder):
+    return licenses.notices(table(spark, folder, "documents"))
+
+
 @query("op9_bpe")
 def op9_bpe(spark, folder):
     return bpe.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))

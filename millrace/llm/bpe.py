@@ -38,6 +38,7 @@ from millrace.llm.settings import tuned
 PIECE = 1 << 16
 STORED_WORDS = 200_000
 _NEVER = 1 << 60
+_EMPTY = (0, "", b"", ())
 
 
 def byte_letters() -> list[str]:
@@ -169,7 +170,10 @@ class ByteText:
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Iterable[int]) -> str:
-        raw = self.between.join([self.pieces[i] for i in ids])
+        return self.take(self.between.join([self.pieces[i] for i in ids]))
+
+    def take(self, raw: bytes) -> str:
+        """As ``feed`` for tokens whose bytes are put together already."""
         if raw and not self.first:
             raw = self.between + raw
         self.first = self.first and not raw
@@ -192,6 +196,9 @@ class Tokenizer:
         self.names = [""] * (max(ids.values()) + 1)
         for token, i in ids.items():
             self.names[i] = token
+        self.named = [t.encode() for t in self.names]
+        back = {letter: b for b, letter in enumerate(self.letters)}
+        self.plain = [self._plain(i, back) for i in range(len(self.names))]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
@@ -233,7 +240,7 @@ class Tokenizer:
         return tuple(out[::-1])
 
     def _entry(self, written: str) -> tuple:
-        """(tokens, ids as text, names as text) of what stands between two blanks."""
+        """(tokens, ids as text, bytes as the library writes them, ids) of what stands between two blanks."""
         found = self.older.get(written)
         if found is None:
             ids: list[int] = []
@@ -250,7 +257,7 @@ class Tokenizer:
                                 self.known.clear()
                             self.known[word] = own
                     ids += own
-            found = (len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids]))
+            found = (len(ids), " ".join(map(str, ids)), b" ".join([self.named[i] for i in ids]), tuple(ids))
         if len(written) <= 64:
             if len(self.fresh) >= STORED_WORDS:
                 self.older, self.fresh = self.fresh, {}
@@ -271,31 +278,28 @@ class Tokenizer:
             found = list(map(self.fresh.get, written))
             if None in found:
                 found = [x or self._entry(w) for x, w in zip(found, written)]
-            if (0, "", "") in found:
+            if _EMPTY in found:
                 found = [x for x in found if x[0]]
             yield found
             at = to
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for found in self.entries(text) for _, ids, _ in found for i in ids.split()]
+        return [i for found in self.entries(text) for entry in found for i in entry[3]]
 
     def library_text(self) -> ByteText:
         """Decoding as the file asks: it names no decoder, so tokens are written out with a space between."""
-        return ByteText([t.encode() for t in self.names], b" ")
+        return ByteText(self.named, b" ")
 
     def plain_text(self) -> ByteText:
         """Decoding to readable text: letters back to bytes, a word end to a space."""
-        back = {letter: b for b, letter in enumerate(self.letters)}
-        special = set(self.special.values())
-        suffix = self.merges.suffix
-        pieces = []
-        for i, name in enumerate(self.names):
-            if i in special:
-                pieces.append(name.encode())
-            else:
-                body = name.removesuffix(suffix) if suffix else name
-                pieces.append(bytes(back[c] for c in body) + (b" " if body != name else b""))
-        return ByteText(pieces)
+        return ByteText(self.plain)
+
+    def _plain(self, i: int, back: dict[str, int]) -> bytes:
+        name, suffix = self.names[i], self.merges.suffix
+        if name in self.special:
+            return name.encode()
+        body = name.removesuffix(suffix) if suffix else name
+        return bytes(back[c] for c in body) + (b" " if body != name else b"")
 
 
 _loaded: dict[str, Tokenizer] = {}
@@ -350,14 +354,14 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             totals, ids_out, text_out = [], [], []
             for text in batch.column("text").to_pylist():
-                total, ids, decoded = 0, hashlib.sha256(), hashlib.sha256()
+                total, ids, decoded, machine = 0, hashlib.sha256(), hashlib.sha256(), tokenizer.library_text()
                 for found in tokenizer.entries(text):
                     if found:
-                        between = " " if total else ""
-                        counts, names, words = zip(*found)
+                        counts, names, raw, _ = zip(*found)
+                        ids.update(((" " if total else "") + " ".join(names)).encode())
+                        decoded.update(machine.take(b" ".join(raw)).encode())
                         total += sum(counts)
-                        ids.update((between + " ".join(names)).encode())
-                        decoded.update((between + " ".join(words)).encode())
+                decoded.update(machine.finish().encode())
                 totals.append(total)
                 ids_out.append(ids.hexdigest())
                 text_out.append(decoded.hexdigest())

@@ -4,7 +4,7 @@
    neighbouring runs the rarest becomes a seed. Rarity is relative to the item, so an item that
    leaked into a third of all documents has seeds like any other.
 2. Documents that hold a seed are kept with the places of their seeds. A Bloom filter of at
-   most ``FILTER_BITS`` bits thins them out on the way; the join on the seed is exact, whatever
+   most ``bloom.BITS`` bits thins them out on the way; the join on the seed is exact, whatever
    the filter lets through.
 3. Around the seeds of an item, Smith-Waterman aligns the words of the document with the
    words of the item (match 2, anything else -1). The score is that of the best alignment over
@@ -13,7 +13,7 @@
 Words are runs of letters and digits in lower case.
 
 Defined results: null and empty texts and items match nothing; an item of fewer than ``GRAM``
-words is one run; repeated documents each have their row, repeated items of one id are joined;
+words is one run, found in texts as short only; repeated documents each have their row, repeated items of one id are joined;
 an item without an id is left out; columns other than ``doc_id``, ``text``, ``item_id`` are not read.
 """
 
@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, word_hashes
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, prefix_hash, span_hash, text_key, word_hashes
+from millrace.llm.bloom import shared_filter
 from millrace.llm.settings import tuned
 from millrace.workspace import materialize
 
 GRAM, STRIDE = 4, 2
 LEAST = 0.5
 MATCH, MISS = 2, -1
-FILTER_BITS = 1 << 27
 
 
 def _hashes(data: np.ndarray, offsets: np.ndarray):
@@ -41,48 +41,9 @@ def _hashes(data: np.ndarray, offsets: np.ndarray):
     return words, word_hashes(words.data, words.starts, words.ends)
 
 
-class Filter:
-    """A Bloom filter with two probes: eight bytes hold some four members, up to a fixed size."""
-
-    def __init__(self, members: np.ndarray):
-        bits = 1 << 16
-        while bits < FILTER_BITS and bits < 16 * len(members):
-            bits *= 2
-        self.mask = U64(bits - 1)
-        self.bytes = np.zeros(bits // 8, np.uint8)
-        for at in self._probes(members):
-            np.bitwise_or.at(self.bytes, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-
-    def _probes(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return (hashes & self.mask).astype(np.int64), ((hashes >> U64(32)) & self.mask).astype(np.int64)
-
-    def hits(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of the hashes that may be members."""
-        one, two = self._probes(hashes)
-        first = np.flatnonzero((self.bytes[one >> 3] >> (one & 7).astype(np.uint8)) & 1)
-        two = two[first]
-        return first[((self.bytes[two >> 3] >> (two & 7).astype(np.uint8)) & 1) == 1]
-
-
-def _filter(spark, grams: DataFrame):
-    """The filter, put together by the executors' partial filters and shared."""
-    count = grams.select("gram").distinct().count()
-    empty = Filter(np.zeros(count, U64))
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = Filter(np.zeros(count, U64))
-        part.bytes[:] = 0
-        for batch in batches:
-            for at in part._probes(batch.column("gram").to_numpy().view(U64)):
-                np.bitwise_or.at(part.bytes, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
-        used = np.flatnonzero(part.bytes)
-        yield pa.record_batch([pa.array(used), pa.array(part.bytes[used].astype(np.int32))], ["at", "bits"])
-
-    empty.bytes[:] = 0
-    merged = grams.select("gram").mapInArrow(fill, "at bigint, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits"))
-    table = merged.toArrow()  # at most FILTER_BITS / 8 rows, whatever the benchmark's size
-    empty.bytes[table.column("at").to_numpy()] = table.column("bits").to_numpy().astype(np.uint8)
-    return spark.sparkContext.broadcast(empty)
+def _whole(hashes: np.ndarray, first: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Hash of all words of the given texts."""
+    return mix(span_hash(prefix_hash(hashes), first[texts], first[texts + 1]))
 
 
 def item_grams(items: DataFrame) -> DataFrame:
@@ -94,9 +55,8 @@ def item_grams(items: DataFrame) -> DataFrame:
             grams, text, at = gram_hashes(hashes, words.first, GRAM)
             place = at - words.first[text]
             short = np.flatnonzero((np.diff(words.first) > 0) & (np.diff(words.first) < GRAM))
-            if len(short):  # too short for a run: all its words, found only where a text starts alike
-                whole = [int(mix(np.array([hashes[words.first[i] : words.first[i + 1]].sum()], U64))[0]) for i in short]
-                grams = np.concatenate([grams, np.array(whole, U64)])
+            if len(short):  # too short for a run: all its words, found where a text is no longer either
+                grams = np.concatenate([grams, _whole(hashes, words.first, short)])
                 text, place = np.concatenate([text, short]), np.concatenate([place, np.zeros(len(short), np.int64)])
             yield pa.record_batch([rows.column("item_id").take(pa.array(text)), pa.array(place), pa.array(grams.view(np.int64))],
                                   ["item_id", "place", "gram"])
@@ -106,7 +66,7 @@ def item_grams(items: DataFrame) -> DataFrame:
 
 def gram_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
     """(gram, df): in how many documents each of the given grams occurs (absent ones are left out)."""
-    shared = _filter(tuned(docs.sparkSession), grams)
+    shared = shared_filter(grams, "gram")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list[np.ndarray] = []
@@ -181,7 +141,7 @@ def _score(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> t
 
 def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """(_k1, _k2, doc_id, item_id, score, first_word, end_word, passage): each test item that a document holds."""
-    spark = tuned(docs.sparkSession)
+    tuned(docs.sparkSession)
     texts = keyed(docs)
     items = (
         items.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -189,7 +149,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
     )
     grams = materialize(item_grams(items), "item-grams")
     chosen = materialize(seeds(docs, grams), "seeds")
-    shared = _filter(spark, chosen)
+    shared = shared_filter(chosen, "gram")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, "text"):
@@ -199,7 +159,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
             hits = shared.value.hits(found)
             found, text, at = found[hits], text[hits], at[hits] - words.first[text[hits]]
             if len(short):
-                whole = np.array([int(mix(np.array([hashes[words.first[i] : words.first[i + 1]].sum()], U64))[0]) for i in short], U64)
+                whole = _whole(hashes, words.first, short)
                 good = shared.value.hits(whole)
                 found, text = np.concatenate([found, whole[good]]), np.concatenate([text, short[good]])
                 at = np.concatenate([at, np.zeros(len(good), np.int64)])
@@ -245,3 +205,9 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
     return seeded.drop("hits").join(links, ["_k1", "_k2"]).mapInArrow(
         score, "_k1 bigint, _k2 bigint, doc_id bigint, item_id bigint, score double, first_word bigint, end_word bigint, passage string"
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no test item."""
+    found = contaminated(docs, items, least).select("_k1", "_k2").distinct()
+    return docs.select("*", *text_key()).join(found, ["_k1", "_k2"], "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -151,6 +151,26 @@ def fit_on(docs: DataFrame, allowed: Column) -> LanguageModel | None:
     return fit([(r.text, r.lang) for r in training_sample(docs, allowed).collect()])
 
 
+def _texts(field: LanguageModel | None, data: np.ndarray, offsets: np.ndarray):
+    """(language, score, words, switches) of a block of texts."""
+    n = len(offsets) - 1
+    names, score = [UNKNOWN] * n, np.zeros(n)
+    counts, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    if field is not None:
+        posterior, share, counts, words = field.languages_of(data, offsets)
+        best = share.argmax(1)
+        state = posterior.argmax(1)
+        turn = np.concatenate([[0], np.cumsum(state[1:] != state[:-1])]) if len(state) else np.zeros(0, np.int64)
+        ascii_letters = np.concatenate([[0], np.cumsum(LETTER[data] & (data < 128))])
+        plain = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
+        for i in np.flatnonzero(counts).tolist():
+            text = data[offsets[i] : offsets[i + 1]]
+            if plain[i] or any(map(str.isalpha, text.tobytes().decode("utf-8", "replace"))):
+                names[i], score[i] = field.languages[best[i]], min(1.0, float(share[i, best[i]]))
+                switches[i] = turn[words.first[i + 1] - 1] - turn[words.first[i]]
+    return names, score, counts, switches
+
+
 def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     """(doc_id, lang_pred, score, n_words, n_switches), one row for each row of ``docs``.
 
@@ -160,23 +180,8 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = shared.value
         for rows, data, offsets in blocks(batches, "text"):
-            n = len(offsets) - 1
-            names, score = [UNKNOWN] * n, np.zeros(n)
-            counts, switches = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            if field is not None:
-                posterior, share, counts, words = field.languages_of(data, offsets)
-                best = share.argmax(1)
-                state = posterior.argmax(1)
-                turn = np.concatenate([[0], np.cumsum(state[1:] != state[:-1])]) if len(state) else np.zeros(0, np.int64)
-                ascii_letters = np.concatenate([[0], np.cumsum(LETTER[data] & (data < 128))])
-                plain = ascii_letters[offsets[1:]] > ascii_letters[offsets[:-1]]
-                for i in np.flatnonzero(counts).tolist():
-                    text = data[offsets[i] : offsets[i + 1]]
-                    if plain[i] or any(map(str.isalpha, text.tobytes().decode("utf-8", "replace"))):
-                        names[i], score[i] = field.languages[best[i]], min(1.0, float(share[i, best[i]]))
-                        switches[i] = turn[words.first[i + 1] - 1] - turn[words.first[i]]
+            names, score, counts, switches = _texts(shared.value, data, offsets)
             yield pa.record_batch([rows.column("doc_id"), pa.array(names), pa.array(score), pa.array(counts), pa.array(switches)],
                                   ["doc_id", "lang_pred", "score", "n_words", "n_switches"])
 
@@ -189,3 +194,15 @@ def identify(docs: DataFrame) -> DataFrame:
     tuned(docs.sparkSession)
     found = predict(docs, fit_on(docs, ~held_out()))
     return found.withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+
+
+def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text is in a learned language by at least ``least`` of its words."""
+    shared = tuned(docs.sparkSession).sparkContext.broadcast(fit_on(docs, ~held_out()))
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offsets in blocks(batches, "text"):
+            names, score, _, _ = _texts(shared.value, data, offsets)
+            yield rows.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score)], pa.bool_()))
+
+    return docs.mapInArrow(apply, docs.schema)

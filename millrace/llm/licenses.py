@@ -157,6 +157,10 @@ class Templates:
                     continue
                 a, b = int(spot[i]), int(far[i])
                 pairs = patience(target, hashes[a:b].tolist())
+                while pairs and pairs[0][1]:  # stray words came first: look again from the first match on
+                    a += pairs[0][1]
+                    b = int(min(a + reach, first[home[i] + 1]))
+                    pairs = patience(target, hashes[a:b].tolist())
                 if len(pairs) >= need:
                     low, high = a + pairs[0][1], a + pairs[-1][1] + 1
                     out.append((int(home[i]), t, len(pairs), len(pairs) / m, low - int(first[home[i]]), high - int(first[home[i]])))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontamination, language_id, licenses, order_minhash, secrets, shards, substring_dedup, suffix_dedup
+from millrace.llm import bpe, decontamination, language_id, licenses, near_dedup, order_minhash, secrets, shards, substring_dedup, suffix_dedup
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,8 @@ def op8_licenses(spark, folder):
 @query("op9_bpe")
 def op9_bpe(spark, folder):
     return bpe.token_digests(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_near_dedup")
+def op10_near_dedup(spark, folder):
+    return near_dedup.classes(table(spark, folder, "documents"))

@@ -205,6 +205,11 @@ def text_key() -> list[Column]:
     ]
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, so that no name of theirs meets a name used on the way."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``text`` (never null) and the two key columns; other columns are left out."""
     return docs.select(

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, prefix_hash, span_hash, text_key, word_hashes
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, prefix_hash, span_hash, text_key, whole_row, word_hashes
 from millrace.llm.bloom import shared_filter
 from millrace.llm.settings import tuned
 from millrace.workspace import materialize
@@ -210,4 +210,4 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
 def clean(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no test item."""
     found = contaminated(docs, items, least).select("_k1", "_k2").distinct()
-    return docs.select("*", *text_key()).join(found, ["_k1", "_k2"], "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    return docs.select(whole_row(docs), *text_key()).join(found, ["_k1", "_k2"], "left_anti").select("row.*")

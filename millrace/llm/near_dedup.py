@@ -21,7 +21,7 @@ Equal texts are one node from the start (told apart by a 64-bit hash).
 Defined results: null and empty texts, and others without words, are alike only if they are equal
 (null counts as empty); repeated rows share a class; ``class_id`` is the least id of the class, null
 if no row of it has one; columns other than ``doc_id`` and ``text`` are not read
-(``with_class`` passes all of them on).
+(``deduplicated`` passes all of them on).
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, word_hashes
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, whole_row, word_hashes
 from millrace.llm.bloom import shared_filter
 from millrace.llm.components import components
 from millrace.llm.settings import tuned
@@ -294,20 +294,20 @@ def roots(docs: DataFrame, least: float = LEAST) -> DataFrame:
     return components(links.unionAll(more))
 
 
-def with_class(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """All rows and columns of ``docs`` with ``_root``, equal for the texts of one class."""
-    node = docs.withColumn("_node", _text_hash())
-    return node.join(roots(docs, least).withColumnRenamed("node", "_node").withColumnRenamed("root", "_root"), "_node", "left").withColumn(
-        "_root", F.coalesce("_root", "_node")).drop("_node")
+def with_root(docs: DataFrame, least: float = LEAST) -> DataFrame:
+    """(row, root): every row of ``docs`` as a struct; ``root`` is equal for the texts of one class."""
+    linked = roots(docs.select("text"), least)
+    return docs.select(whole_row(docs), _text_hash().alias("node")).join(linked, "node", "left").select(
+        "row", F.coalesce("root", "node").alias("root"))
 
 
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, class_id), one row for each row of ``docs``."""
-    rows = with_class(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), least).select("doc_id", "_root")
-    return rows.join(rows.groupBy("_root").agg(F.min("doc_id").alias("class_id")), "_root").select("doc_id", "class_id")
+    rows = with_root(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), least).select("row.doc_id", "root")
+    return rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """One row of each class, with all its columns: that of the least id (nulls last), then the least text."""
-    order = Window.partitionBy("_root").orderBy(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_last())
-    return with_class(docs, least).withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select(*[f"`{c}`" for c in docs.columns])
+    order = Window.partitionBy("root").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
+    return with_root(docs, least).withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("row.*")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.blocks import text_bytes
+from millrace.llm.blocks import text_bytes, whole_row
 from millrace.llm.settings import tuned
 from millrace.workspace import fresh_path
 
@@ -55,7 +55,7 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_byt
     docs = docs.drop("shard", "slot")
     buckets = max(1, math.ceil(text_bytes(docs) / bucket_bytes))
     bucket = F.pmod(_hash(docs, seed), F.lit(buckets)).cast("int")
-    rows = docs.withColumn("_bucket", bucket).withColumn("_order", _hash(docs, seed + 1))
+    rows = docs.select(whole_row(docs), bucket.alias("_bucket"), _hash(docs, seed + 1).alias("_order"))
 
     # One row for each bucket, that is for each BUCKET_BYTES of text.
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +74,8 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_byt
         place = np.arange(first, first + table.num_rows)
         shard = place * shards // total
         slot = place - -(-shard * total // shards)
-        return pa.table([*(table.column(c) for c in names), pa.array(shard, pa.int32()), pa.array(slot, pa.int64())],
+        values = table.column("row").combine_chunks().flatten()
+        return pa.table([*values, pa.array(shard, pa.int32()), pa.array(slot, pa.int64())],
                         names=[*names, "shard", "slot"])
 
     out = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])

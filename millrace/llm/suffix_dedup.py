@@ -132,14 +132,18 @@ class Suffixes:
         new = np.append(True, first[tied][1:] != first[tied][:-1])
         begin = np.flatnonzero(new)
         first = np.repeat(begin, np.diff(np.append(begin, len(tied))))
+        members = starts[order]
         index = np.full(len(self.prefix), -1, np.int64)
-        index[starts[order]] = order
-        places = self.merge_sort(starts[order], first, size)
+        index[members] = order
+        places = self.merge_sort(members, first, size)
         inner = np.flatnonzero(first[1:] == first[:-1])
         signs = self.order(places[inner], places[inner + 1])
-        for group_at in np.unique(first[inner[signs > 0]]).tolist():  # a hash lied: sort by bytes
+        wrong = [first[inner[signs > 0]]]
+        if len(np.unique(places)) < len(places):  # two suffixes were given one slot
+            wrong.append(first[~np.isin(members, places)])
+        for group_at in np.unique(np.concatenate(wrong)).tolist():  # a hash lied: sort by bytes
             to = group_at + int(size[group_at])
-            raw = {p: self.data[p : p + self.span].tobytes() for p in places[group_at:to].tolist()}
+            raw = {p: self.data[p : p + self.span].tobytes() for p in members[group_at:to].tolist()}
             places[group_at:to] = sorted(raw, key=raw.__getitem__)
             redo = (inner >= group_at) & (inner < to - 1)
             signs[redo] = self.order(places[inner[redo]], places[inner[redo] + 1])

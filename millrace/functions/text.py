@@ -81,24 +81,23 @@ def term_counts(df: DataFrame, tokens: Column, term: str = "term", output: str =
     return explode_terms(df, tokens, term=term).groupBy(term).agg(F.count(F.lit(1)).alias(output))
 
 
-def vocabulary(df: DataFrame, tokens: Column, *, size: int = 1 << 18, min_docs: int = 1) -> DataFrame:
-    """Most frequent terms in ``min_docs`` rows or more: term, count, docs.
+def vocabulary(df: DataFrame, tokens: Column, *, size: int | None = None, min_docs: int = 1) -> DataFrame:
+    """Terms in ``min_docs`` rows or more, the ``size`` most frequent ones if given: term, count, docs.
 
     One scan and one shuffle give both counts: each row lists its tokens and then
     its distinct tokens, told apart by position. Equal counts order by term.
     """
     listed = F.concat("_tokens", F.array_distinct("_tokens"))
     in_text = F.col("_at") < F.col("_n")
-    return (
+    counted = (
         df.select(tokens.alias("_tokens"))
         .select(F.size("_tokens").alias("_n"), F.posexplode_outer(listed).alias("_at", "term"))
         .filter(F.col("term").isNotNull())
         .groupBy("term")
         .agg(F.count_if(in_text).alias("count"), F.count_if(~in_text).alias("docs"))
         .filter(F.col("docs") >= min_docs)
-        .orderBy(F.col("count").desc(), "term")
-        .limit(size)
     )
+    return counted if size is None else counted.orderBy(F.col("count").desc(), "term").limit(size)
 
 
 def tf_idf(df: DataFrame, key: str, tokens: Column) -> DataFrame:

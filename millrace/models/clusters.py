@@ -65,3 +65,28 @@ def wssse(df: DataFrame, features: str, cluster: str) -> DataFrame:
     means = one_per_key(df, [cluster], vector_to_array(Summarizer.mean(F.col(features))).alias("_center"))
     distance = squared_distance(vector_to_array(F.col(features)), F.col("_center"))
     return df.join(means, cluster).agg(F.sum(distance).alias("cost"))
+
+
+def means(points: DataFrame, group: str, point: str) -> DataFrame:
+    """The mean point of each group: (cluster, centre array)."""
+    parts = points.select(F.col(group).alias("cluster"), F.posexplode(point).alias("at", "value"))
+    by_place = parts.groupBy("cluster", "at").agg(F.avg("value").alias("value"))
+    placed = F.array_sort(F.collect_list(F.struct("at", "value")))
+    return by_place.groupBy("cluster").agg(F.transform(placed, lambda p: p["value"]).alias("centre"))
+
+
+def nearest(points: DataFrame, centres: DataFrame, point: str) -> DataFrame:
+    """Rows with ``cluster`` and squared ``distance`` of the nearest of the given centres (the least cluster where two tie).
+
+    The centres are a model's, a few rows, and travel as one scalar of the plan.
+    """
+    table = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "centre")))).scalar()
+
+    def apart(centre: Column) -> Column:
+        return F.aggregate(F.zip_with(point, centre, lambda x, m: (x - m) * (x - m)), F.lit(0.0), lambda s, x: s + x)
+
+    measured = F.transform("_centres", lambda c: F.struct(apart(c["centre"]).alias("distance"), c["cluster"].alias("cluster")))
+    return (
+        points.withColumn("_centres", table).withColumn("_best", F.array_min(measured))
+        .select(*points.columns, "_best.cluster", "_best.distance")
+    )

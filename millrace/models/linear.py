@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
@@ -25,9 +27,11 @@ def coefficients(df: DataFrame, model: LinearRegressionModel, columns: Sequence[
     return df.sparkSession.createDataFrame([*rows, ("intercept", float(model.intercept))], "term string, value double")
 
 
-def score(df: DataFrame, model, columns: Sequence[str], *, invalid: str = "skip") -> DataFrame:
-    """Rows with the model's ``prediction``; labels are not needed."""
-    return model.transform(assemble(df, columns, invalid=invalid)).drop("features")
+def score(df: DataFrame, model, columns: Sequence[str]) -> DataFrame:
+    """All rows with the model's ``prediction``, null where a feature is missing; labels are not needed."""
+    complete = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns])
+    scored = model.transform(assemble(df, columns, invalid="keep")).drop("features")
+    return scored.withColumn("prediction", F.when(complete, F.col("prediction")))
 
 
 def residuals(scored: DataFrame, label: str, output: str = "residual") -> DataFrame:
@@ -41,5 +45,6 @@ def fit_logistic(df: DataFrame, columns: Sequence[str], label: str, **params) ->
 
 
 def probabilities(scored: DataFrame, column: str = "probability", output: str = "p1") -> DataFrame:
-    """The probability of class 1 as a plain column, model vectors dropped."""
-    return scored.withColumn(output, vector_to_array(F.col(column))[1]).drop(column, "rawPrediction")
+    """The probability of class 1 as a plain column (null without a prediction), model vectors dropped."""
+    value = F.when(F.col("prediction").isNotNull(), vector_to_array(F.col(column))[1])
+    return scored.withColumn(output, value).drop(column, "rawPrediction")

@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.operators.features import dense_ids
 from millrace.operators.relational import top_n_per_group
 
-_MAX_ID = 2**31 - 1
-
 
 def ratings_table(df: DataFrame, user: Column, item: Column, rating: Column) -> DataFrame:
     """One mean rating for each (user, item); rows without either are left out.
@@ -28,14 +27,11 @@ def ratings_table(df: DataFrame, user: Column, item: Column, rating: Column) ->
 def with_int_ids(ratings: DataFrame) -> DataFrame:
     """Ids as MLlib's factorisation wants them: 32-bit ``user_id`` and ``item_id``.
 
-    Whole-number ids that fit are cast; wider ones are renumbered on the executors.
+    Columns of up to 32 bits are used as they are; every other type is numbered on the
+    executors, so no two ids become one.
     """
-    bounds = ratings.agg(
-        *[f(c).cast("double").alias(f"{n}_{c}") for c in ("user", "item") for n, f in (("lo", F.min), ("hi", F.max))]
-    ).first()
     for column in ("user", "item"):
-        low, high = bounds[f"lo_{column}"], bounds[f"hi_{column}"]
-        if low is None or (0 <= low and high <= _MAX_ID):
+        if isinstance(ratings.schema[column].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             ratings = ratings.withColumn(f"{column}_id", F.col(column).cast("int"))
         else:
             ratings = ratings.join(dense_ids(ratings, column, f"{column}_id"), column)
@@ -43,20 +39,26 @@ def with_int_ids(ratings: DataFrame) -> DataFrame:
 
 
 def fit_als(ratings: DataFrame, *, seed: int, max_iter: int = 5, reg: float = 0.01, **params) -> ALSModel:
-    """Fit on ``user_id, item_id, rating``. Pairs unseen in training get no prediction."""
+    """Fit on ``user_id, item_id, rating``."""
     als = ALS(
         userCol="user_id", itemCol="item_id", ratingCol="rating",
-        maxIter=max_iter, regParam=reg, seed=seed, coldStartStrategy="drop", **params,
+        maxIter=max_iter, regParam=reg, seed=seed, coldStartStrategy="nan", **params,
     )
     return als.fit(ratings.select("user_id", "item_id", "rating"))
 
 
+def predict(model: ALSModel, pairs: DataFrame) -> DataFrame:
+    """All pairs with their ``prediction``, null where the fit has not seen the user or the item."""
+    scored = model.transform(pairs)
+    return scored.withColumn("prediction", F.when(~F.isnan("prediction"), F.col("prediction")))
+
+
 def recommend(scored: DataFrame, n: int) -> DataFrame:
     """The n best-scored candidate items of each user: rows with ``rank``.
 
     Works on given candidates (one scored row each), so its cost is linear in them.
     """
-    return top_n_per_group(scored, ["user"], n, F.col("prediction").desc(), "item")
+    return top_n_per_group(scored, ["user"], n, F.col("prediction").desc_nulls_last(), "item")
 
 
 def recommend_unseen(model: ALSModel, users: DataFrame, n: int) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.ml.classification import (
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.models.linear import score
 from millrace.models.metrics import classification_metrics
 from millrace.operators.features import assemble
 
@@ -32,8 +33,8 @@ def fit_forest(df: DataFrame, columns: Sequence[str], label: str, *, seed: int,
 
 
 def fit_gbt(df: DataFrame, columns: Sequence[str], label: str, *, seed: int, **params):
-    """Binary only."""
-    return _fit(GBTClassifier(labelCol=label, seed=seed, **{"maxIter": 10, **params}), df, columns, label)
+    """Binary only; MLlib's default number of rounds unless ``maxIter`` says otherwise."""
+    return _fit(GBTClassifier(labelCol=label, seed=seed, **params), df, columns, label)
 
 
 def fit_naive_bayes(df: DataFrame, features: str, label: str, **params):
@@ -53,7 +54,8 @@ def compare_models(
 ) -> DataFrame:
     """Tree, forest and GBT on one split: rows (model, accuracy, precision, recall, f1).
 
-    The training part is assembled and kept once for the three fits.
+    The training part is assembled and kept once for the three fits. Every row of ``test``
+    counts; one with a missing feature has no prediction and is a miss.
     """
     params = params or {}
     data = assemble(train.select(*columns, label), columns, invalid="skip").select("features", label)
@@ -62,15 +64,15 @@ def compare_models(
         fitted = {
             "tree": DecisionTreeClassifier(labelCol=label, seed=seed, **params.get("tree", {})).fit(data),
             "forest": RandomForestClassifier(labelCol=label, seed=seed, **params.get("forest", {})).fit(data),
-            "gbt": GBTClassifier(labelCol=label, seed=seed, **{"maxIter": 10, **params.get("gbt", {})}).fit(data),
+            "gbt": GBTClassifier(labelCol=label, seed=seed, **params.get("gbt", {})).fit(data),
         }
     finally:
         data.unpersist()
-    held = assemble(test.select(*columns, label), columns, invalid="skip").select("features", label)
+    held = test.select(*columns, label)
     return reduce(
         DataFrame.unionByName,
         [
-            classification_metrics(model.transform(held), label, "prediction").select(
+            classification_metrics(score(held, model, columns), label, "prediction").select(
                 F.lit(name).alias("model"), "*"
             )
             for name, model in fitted.items()

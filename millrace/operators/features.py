@@ -5,32 +5,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler, VectorIndexer
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler, VectorIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordering import global_row_number
 
-# A label list up to this many entries is kept as a model on the driver.
-MODEL_LABELS = 100_000
-
-
-def index_category(df: DataFrame, column: str, output: str, *, model_labels: int = MODEL_LABELS) -> DataFrame:
+def index_category(df: DataFrame, column: str, output: str) -> DataFrame:
     """Index of each category by falling frequency, ties in alphabetical order, as double.
 
-    Nulls are no category; their rows get a null index. Few labels go through
-    MLlib's StringIndexer, whose model is a list on the driver. Past
-    ``model_labels`` distinct labels (checked first) the ranking is computed and
-    joined on the executors instead, with the same result.
+    Nulls are no category; their rows get a null index. The ranking is computed and joined
+    on the executors. Stage chains use MLlib's StringIndexer, which keeps its labels on the driver.
     """
-    labels = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    if labels.limit(model_labels + 1).count() <= model_labels:
-        indexer = StringIndexer(
-            inputCol=column, outputCol=output, stringOrderType="frequencyDesc", handleInvalid="keep"
-        )
-        indexed = indexer.fit(df.filter(F.col(column).isNotNull())).transform(df)
-        return indexed.withColumn(output, F.when(F.col(column).isNotNull(), F.col(output)))
     counted = df.filter(F.col(column).isNotNull()).groupBy(column).count()
     ranked = global_row_number(counted, [F.col("count").desc(), F.col(column)], "_rank")
     index = ranked.select(column, (F.col("_rank") - 1).cast("double").alias(output))

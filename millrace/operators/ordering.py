@@ -7,6 +7,7 @@ one small row per range (never per input row) meets in a single task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,49 +50,62 @@ def global_row_number(df: DataFrame, order: Sequence[Column], output: str) -> Da
     return running_total(df, order, F.lit(1).cast("bigint"), output)
 
 
+_BINS = 1024
+_FEW = 10_000
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles: rows (column, p, value).
+    """Exact linearly interpolated quantiles: rows (column, p, value), null for a column without values.
 
-    The built-in exact percentile keeps every distinct value of a column in one
-    task. Here equal values are counted first, the distinct ones are
-    range-partitioned, and only the ranges that hold a wanted rank are sorted.
-    Nulls are ignored.
+    The built-in exact percentile keeps every distinct value of a column in one task. Here
+    a wanted rank is held in a bracket of values. A pass counts the bracket in ``_BINS`` parts and
+    goes on with the part that holds the rank, until it holds ``_FEW`` values or a single one, which
+    are then listed. Tasks and driver see counts of parts only, whatever the data; nothing is
+    written. Nulls and NaN are ignored.
     """
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    values = numbers.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull())
-    counted = values.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = _ranged(counted, [F.col("column"), F.col("value")], "quantiles")
-
-    # One row per range and column it touches.
-    whole = Window.partitionBy("column")
-    before = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    pieces = ranged.groupBy("column", _PART).agg(F.sum("n").alias("_size"))
-    pieces = pieces.select(
-        "column", _PART, "_size",
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"),
-        F.sum("_size").over(whole).alias("_total"),
-    )
-    wanted = (
-        pieces.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("_at", F.col("p") * (F.col("_total") - 1))
-        .withColumn("_low", F.floor("_at"))
-        .withColumn("_high", F.ceil("_at"))
-        .filter((F.col("_before") <= F.col("_high")) & (F.col("_low") < F.col("_before") + F.col("_size")))
-    )
-    inside = Window.partitionBy("column", "p", _PART).orderBy("value")
-    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        ranged.join(F.broadcast(wanted.drop("_size", "_total")), ["column", _PART])
-        .withColumn("_end", F.col("_before") + F.sum("n").over(upto))
-        .withColumn("_start", F.col("_end") - F.col("n"))
-    )
-
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end")), F.col("value")))
-
-    return (
-        ranked.groupBy("column", "p", "_at", "_low")
-        .agg(at("_low").alias("_v0"), at("_high").alias("_v1"))
-        .select("column", "p",
-                (F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("_at") - F.col("_low"))).alias("value"))
-    )
+    values = numbers.unpivot([], list(columns), "column", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    whole = {r["column"]: r for r in values.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).collect()}
+    found: dict[tuple[str, int], float] = {}
+    brackets: dict[tuple[str, int], tuple[float, float, int, int]] = {}  # bounds, values below, values inside
+    for column, row in whole.items():
+        for p in probabilities:
+            at = p * (row["n"] - 1)
+            for rank in (math.floor(at), math.ceil(at)):
+                brackets[column, rank] = (row["low"], row["high"], 0, row["n"])
+    while brackets:
+        for key, (low, high, _, _) in list(brackets.items()):
+            if low == high:
+                found[key] = low
+                del brackets[key]
+        spans = sorted({(c, low, high, below, n) for (c, _), (low, high, below, n) in brackets.items()})
+        if not spans:
+            break
+        table = df.sparkSession.createDataFrame(spans, "column string, low double, high double, below bigint, n bigint")
+        inside = values.join(F.broadcast(table), "column").filter(F.col("value").between(F.col("low"), F.col("high")))
+        few = F.col("n") <= _FEW
+        # Halves are scaled first, so that the width of a bracket cannot overflow.
+        share = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+        part = F.when(few, F.col("value")).otherwise(F.floor(F.least(share, F.lit(1.0)) * (_BINS - 1)).cast("double"))
+        counted = inside.groupBy("column", "low", "high", "below", part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")).collect()
+        parts: dict[tuple, list] = {}
+        for r in counted:
+            parts.setdefault((r["column"], r["low"], r["high"], r["below"]), []).append((r["least"], r["most"], r["n"]))
+        for key, (low, high, below, _) in list(brackets.items()):
+            for least, most, n in sorted(parts[key[0], low, high, below]):
+                if key[1] < below + n:
+                    brackets[key] = (least, most, below, n)
+                    break
+                below += n
+    rows = []
+    for column in columns:
+        for p in probabilities:
+            if column in whole:
+                at = p * (whole[column]["n"] - 1)
+                low, high = found[column, math.floor(at)], found[column, math.ceil(at)]
+                rows.append((column, float(p), low + (high - low) * (at - math.floor(at))))
+            else:
+                rows.append((column, float(p), None))
+    return df.sparkSession.createDataFrame(rows, "column string, p double, value double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -61,17 +61,18 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows, duplicate rows and nulls by column of several tables, in long form."""
 
     def one(name: str, df: DataFrame) -> DataFrame:
-        counts = (
-            df.groupBy(*[F.col(f"`{c}`") for c in df.columns])
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("_kinds"))
-            .select(F.inline(F.array(
-                F.struct(F.lit("rows").alias("check"), F.lit("").alias("column"), F.col("rows").alias("value")),
-                F.struct(F.lit("duplicates").alias("check"), F.lit("").alias("column"),
-                         (F.col("rows") - F.col("_kinds")).alias("value")),
-            )))
-        )
-        nulls = null_counts(df).select(F.lit("nulls").alias("check"), "column", F.col("nulls").alias("value"))
-        return counts.unionByName(nulls).select(F.lit(name).alias("table"), "*")
+        # Equal rows are grouped once; rows, kinds and nulls are all sums over the groups.
+        kinds = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+        nulls = [F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("_n"))).alias(f"_{i}") for i, c in enumerate(df.columns)]
+        row = kinds.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("_kinds"), *nulls)
+
+        def cell(check: str, column: str, value: Column) -> Column:
+            return F.struct(F.lit(name).alias("table"), F.lit(check).alias("check"), F.lit(column).alias("column"),
+                            F.coalesce(value, F.lit(0)).cast("bigint").alias("value"))
+
+        return row.select(F.inline(F.array(
+            cell("rows", "", F.col("rows")), cell("duplicates", "", F.col("rows") - F.col("_kinds")),
+            *[cell("nulls", c, F.col(f"_{i}")) for i, c in enumerate(df.columns)],
+        )))
 
     return reduce(DataFrame.unionByName, [one(name, df) for name, df in tables.items()])

@@ -36,18 +36,20 @@ def percent_text(numerator: Column, denominator: Column, digits: int = 2) -> Col
 
 
 def map_codes(
-    df: DataFrame, column: str, table: Mapping, output: str, *, missing: str | None = None
+    df: DataFrame, column: str, table: Mapping | DataFrame, output: str, *, missing: str | None = None
 ) -> DataFrame:
     """Label of each code. A null code gets ``missing``; an unlisted code gets null.
 
-    The table is a literal of the program, so its broadcast is bounded by it.
+    ``table`` is a literal of the program, or a frame of two columns (code, label) with one row a code.
     """
-    spark = df.sparkSession
     key_type = df.schema[column].dataType
-    lookup = spark.createDataFrame(list(table.items()), ["_code", output]).withColumn(
-        "_code", F.col("_code").cast(key_type)
-    )
-    labelled = df.join(F.broadcast(lookup), F.col(column) == F.col("_code"), "left").drop("_code")
+    if isinstance(table, DataFrame):
+        code, label = table.columns
+        lookup = table.select(F.col(code).cast(key_type).alias("_code"), F.col(label).alias(output))
+    else:
+        rows = df.sparkSession.createDataFrame(list(table.items()), ["_code", output])
+        lookup = rows.withColumn("_code", F.col("_code").cast(key_type))
+    labelled = df.join(lookup, F.col(column) == F.col("_code"), "left").drop("_code")
     if missing is None:
         return labelled
     return labelled.withColumn(output, F.when(F.col(column).isNull(), F.lit(missing)).otherwise(F.col(output)))
@@ -73,21 +75,6 @@ def grid_key(latitude: Column, longitude: Column, digits: int = 1) -> Column:
 
 # --- joins -----------------------------------------------------------------
 
-# Rows up to which a dimension of a few columns is sent to every executor.
-SMALL_ROWS = 500_000
-
-
-def small_side(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """The frame marked for broadcast if it is counted to have at most ``rows`` rows.
-
-    For dimensions that are themselves joins: their size is estimated as a product
-    and they would be shuffled against the fact however small they are. A larger
-    frame is returned as it is and joined by shuffling; hot keys of such a join are
-    split at run time (adaptive skew join).
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | str, how: str = "inner") -> DataFrame:
     """Equi-join on shared columns, each key once in the result."""
     return left.join(right, keys, how)

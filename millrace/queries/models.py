@@ -2,12 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from millrace.models import clusters, linear, metrics, recommend, trees
-from millrace.operators.features import assemble, fit_stages, key_split, scale
-from millrace.plans.text_classes import text_stages
+from millrace.models import bayes, clusters, linear, metrics, recommend, trees
+from millrace.operators.features import assemble, index_category, key_split, scale
+from millrace.plans import text_classes
 from millrace.queries.aggregates import rounded
-from millrace.queries.text import labelled_texts
+from millrace.queries.scalars import _TOKENS
+from millrace.queries.text import _STOP, STOP, labelled_texts
 from millrace.registry import query
+from millrace.workspace import materialize
 
 SEED = 42
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -25,6 +27,27 @@ def linear_fit(t):
     return rounded(linear.coefficients(t.lineitem, model, ["l_quantity"]), 4)
 
 
+_TWO = """SELECT sum(x * x) AS xx, sum(z * z) AS zz, sum(x * z) AS xz, sum(x * y) AS xy, sum(z * y) AS zy FROM
+            (SELECT l_quantity - avg(l_quantity) OVER () AS x, f - avg(f) OVER () AS z,
+                    l_extendedprice - avg(l_extendedprice) OVER () AS y
+             FROM (SELECT l_quantity, l_extendedprice, CAST(l_returnflag = (SELECT l_returnflag FROM lineitem GROUP BY 1
+                     ORDER BY count(*) DESC, 1 LIMIT 1) AS INTEGER) AS f FROM lineitem))"""
+
+
+@query(
+    "linear_fit_indexed",
+    f"""SELECT unnest(['l_quantity', 'flag']) AS term,
+               unnest([round((zz * xy - xz * zy) / (xx * zz - xz * xz), 4), round((xx * zy - xz * xy) / (xx * zz - xz * xz), 4)]) AS value
+        FROM ({_TWO})""",
+)
+def linear_fit_indexed(t):
+    """Two features, one of them the most frequent value of an indexed category."""
+    lines = index_category(t.lineitem.select("l_quantity", "l_extendedprice", "l_returnflag"), "l_returnflag", "index")
+    lines = lines.withColumn("flag", (F.col("index") == 0).cast("double"))
+    model = linear.fit_linear(lines, ["l_quantity", "flag"], "l_extendedprice")
+    return rounded(linear.coefficients(lines, model, ["l_quantity", "flag"]).filter("term != 'intercept'"), 4)
+
+
 _TRAINED = """line AS (SELECT regr_slope(l_extendedprice, l_quantity) AS a, regr_intercept(l_extendedprice, l_quantity) AS b
               FROM lineitem WHERE l_orderkey % 10 < 7),
               scored AS (SELECT l_orderkey, l_linenumber, l_extendedprice AS y, a * l_quantity + b AS p
@@ -67,14 +90,72 @@ def _lines(t):
     return t.lineitem.select("l_orderkey", "l_linenumber", *LINE, label.alias("label"))
 
 
+def _status(t):
+    """Lines with a 0/1 label: whether the line is still open."""
+    label = F.when(F.col("l_linestatus") == "O", 1.0).otherwise(0.0)
+    return t.lineitem.select("l_orderkey", "l_linenumber", *LINE, label.alias("label"))
+
+
 @query("logistic_scores")
 def logistic_scores(t):
-    train, test = key_split(_lines(t), "l_orderkey")
-    model = linear.fit_logistic(train, LINE, "label", maxIter=20)
-    scored = linear.probabilities(linear.score(test, model, LINE))
+    train, test = key_split(_status(t), "l_orderkey")
+    scored = linear.probabilities(linear.score(test, linear.fit_logistic(train, LINE, "label"), LINE))
     return scored.select("l_orderkey", "l_linenumber", "label", "prediction", "p1")
 
 
+def _balance(train, model):
+    """Sum of labels and of predicted probabilities over the training rows (equal at the optimum), and rows."""
+    scored = linear.probabilities(linear.score(train, model, LINE))
+    return scored.agg(
+        F.round(F.sum("label"), 0).alias("labels"), F.round(F.sum("p1"), 0).alias("predicted"), F.count("prediction").alias("scored")
+    )
+
+
+@query(
+    "logistic_balance",
+    """SELECT round(CAST(count(*) FILTER (l_linestatus = 'O') AS DOUBLE), 0) AS labels,
+              round(CAST(count(*) FILTER (l_linestatus = 'O') AS DOUBLE), 0) AS predicted, count(*) AS scored
+       FROM lineitem WHERE l_orderkey % 10 < 7""",
+)
+def logistic_balance(t):
+    """First-order condition of the fit: predicted probabilities add up to the labels."""
+    train, _ = key_split(_status(t), "l_orderkey")
+    return _balance(train, linear.fit_logistic(train, LINE, "label"))
+
+
+@query(
+    "tree_balance",
+    """SELECT round(CAST(count(*) FILTER (l_extendedprice > l_quantity * 1500) AS DOUBLE), 0) AS labels,
+              round(CAST(count(*) FILTER (l_extendedprice > l_quantity * 1500) AS DOUBLE), 0) AS predicted, count(*) AS scored
+       FROM lineitem WHERE l_orderkey % 10 < 7""",
+)
+def tree_balance(t):
+    """The leaves of a tree hold shares of its training rows, so they add up to the labels."""
+    train, _ = key_split(_lines(t), "l_orderkey")
+    return _balance(train, trees.fit_tree(train, LINE, "label", seed=SEED))
+
+
+_SCORED_SQL = """SELECT l_orderkey, l_linenumber, CASE WHEN l_extendedprice > l_quantity * 1500 THEN 1.0::DOUBLE ELSE 0.0 END AS label,
+                        true AS valid FROM lineitem WHERE l_orderkey % 10 >= 7"""
+
+
+def _valid(scored):
+    """Whether a row has a class and a probability on the class's side."""
+    side = (F.col("p1") >= 0.5).cast("double") == F.col("prediction")
+    return scored.select("l_orderkey", "l_linenumber", "label", (side & F.col("p1").between(0, 1)).alias("valid"))
+
+
+@query("forest_rows", _SCORED_SQL)
+def forest_rows(t):
+    """Every held-out row is scored, and its class is the more probable one."""
+    return _valid(_tree_scores(t, trees.fit_forest))
+
+
+@query("gbt_rows", _SCORED_SQL)
+def gbt_rows(t):
+    return _valid(_tree_scores(t, trees.fit_gbt, maxIter=10))
+
+
 @query(
     "auc_hard",
     """SELECT round((avg(CASE WHEN quality = 1 THEN toxic END) + avg(CASE WHEN quality = 0 THEN 1 - toxic END)) / 2, 6) AS auc
@@ -147,13 +228,45 @@ def compare_models(t):
     return trees.compare_models(train, test, LINE, "label", seed=SEED)
 
 
-@query("naive_bayes_scores")
+@query(
+    "importance_total",
+    "SELECT CAST(count(*) AS BIGINT) AS features, CAST(1.0 AS DOUBLE) AS total FROM (SELECT unnest(['a', 'b', 'c', 'd'])) WHERE (SELECT count(*) FROM lineitem) > 0",
+)
+def importance_total(t):
+    """Importances are shares: one for each feature, 1 together."""
+    return feature_importance(t).agg(F.count(F.lit(1)).alias("features"), F.round(F.sum("importance"), 6).alias("total"))
+
+
+_BAYES = f"""WITH msg AS (SELECT doc_id, CASE WHEN quality = 1 THEN 1 ELSE 0 END AS label, text FROM documents JOIN labels USING (doc_id)),
+       tokens AS (SELECT doc_id, unnest({_TOKENS}) AS term FROM msg),
+       tf AS (SELECT doc_id, term, count(*) AS tf FROM tokens WHERE term NOT IN ({_STOP}) GROUP BY doc_id, term),
+       train AS (SELECT * FROM msg WHERE doc_id % 10 < 7), test AS (SELECT * FROM msg WHERE doc_id % 10 >= 7),
+       known AS (SELECT label, term, sum(tf)::DOUBLE AS weight FROM tf JOIN train USING (doc_id) GROUP BY label, term),
+       mass AS (SELECT label, sum(weight) AS mass FROM known GROUP BY label),
+       classes AS (SELECT label AS class, ln((count(*) + 1) / ((SELECT count(*) FROM train) + 2.0)) AS prior,
+                          -ln(any_value(mass) + (SELECT count(DISTINCT term) FROM known)) AS rest
+                   FROM train JOIN mass USING (label) GROUP BY label),
+       used AS (SELECT doc_id, class, term, tf, rest FROM tf JOIN test USING (doc_id) CROSS JOIN classes
+                WHERE term IN (SELECT term FROM known)),
+       odds AS (SELECT doc_id, class, sum(tf * (rest + ln(coalesce(weight, 0) + 1))) AS likelihood
+                FROM used LEFT JOIN known ON known.label = class AND known.term = used.term GROUP BY doc_id, class),
+       wide AS (SELECT test.doc_id, label, c.class, prior + coalesce(likelihood, 0) AS s
+                FROM test CROSS JOIN classes c LEFT JOIN odds o ON o.doc_id = test.doc_id AND o.class = c.class)"""
+
+
+@query(
+    "naive_bayes_scores",
+    f"""{_BAYES} SELECT doc_id, label, CAST(arg_max(class, s) AS INTEGER) AS prediction, round(1 / sum(exp(s - top)), 4) AS probability
+        FROM (SELECT *, max(s) OVER (PARTITION BY doc_id) AS top FROM wide) GROUP BY doc_id, label""",
+)
 def naive_bayes_scores(t):
-    """Quality of a text from its terms; stages and model see the training texts only."""
-    train, test = key_split(labelled_texts(t), "doc_id")
-    stages = fit_stages(train, text_stages(vocab_size=5000))
-    model = trees.fit_naive_bayes(stages.transform(train), "features", "label")
-    return linear.probabilities(model.transform(stages.transform(test))).select("doc_id", "label", "prediction", "p1")
+    """Quality of a text from the counts of its terms, whatever their number; the model sees the training texts only."""
+    messages = labelled_texts(t).withColumn("label", F.when(F.col("class") == "good", 1).otherwise(0))
+    train, test = key_split(messages, "doc_id")
+    counts = text_classes.term_weights(messages, "doc_id", stop=STOP).select("doc_id", "term", F.col("tf").cast("double").alias("weight"))
+    model = bayes.fit_terms(counts, train, "doc_id")
+    found = bayes.classify(bayes.score_terms(model, counts.join(test.select("doc_id"), "doc_id", "left_semi"), test, "doc_id"), "doc_id")
+    return test.select("doc_id", "label").join(found, "doc_id").withColumn("probability", F.round("probability", 4))
 
 
 # --- clusters ----------------------------------------------------------------------
@@ -196,16 +309,49 @@ def cluster_sizes(t):
     return clusters.cluster_sizes(clusters.assign(points, model))
 
 
+@query("kmeans_rows", "SELECT vec_id, true AS assigned FROM embeddings")
+def kmeans_rows(t):
+    """Every point is in one of the three clusters."""
+    return kmeans_assign(t).select("vec_id", F.col("cluster").isin(0, 1, 2).alias("assigned"))
+
+
+@query("cluster_rows", "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(2 AS BIGINT) AS clusters FROM lineitem")
+def cluster_rows(t):
+    """The sizes of the clusters add up to the rows."""
+    return cluster_sizes(t).agg(F.sum("count").alias("rows"), F.count(F.lit(1)).alias("clusters"))
+
+
+@query(
+    "kmeans_step",
+    """WITH x AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+            c AS (SELECT label AS cluster, i, avg(v) AS m FROM x GROUP BY label, i),
+            d AS (SELECT vec_id, cluster, sum((v - m) ** 2) AS distance FROM x JOIN c USING (i) GROUP BY vec_id, cluster)
+       SELECT vec_id, arg_min(cluster, distance) AS cluster, round(min(distance), 6) AS distance FROM d GROUP BY vec_id""",
+)
+def kmeans_step(t):
+    """One assignment step from given centres: the means of the labelled groups."""
+    points = t.embeddings.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("point"))
+    found = clusters.nearest(points, clusters.means(points, "label", "point"), "point")
+    return found.select("vec_id", "cluster", F.round("distance", 6).alias("distance"))
+
+
 # --- recommendations -------------------------------------------------------------------
 
-def _als(t):
+_RATINGS_SQL = "(SELECT l_suppkey AS user, l_partkey AS item, avg(l_quantity) AS rating FROM lineitem GROUP BY ALL)"
+_HELD = "(user * 31 + item) % 10 >= 8"
+
+
+def _ratings(t):
+    """Mean quantities by supplier and part, stored once and numbered: three jobs read them."""
     lines = t.lineitem.select("l_suppkey", "l_partkey", "l_quantity")
-    table = recommend.with_int_ids(
-        recommend.ratings_table(lines, F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity"))
-    )
-    slot = F.pmod(F.xxhash64("user", "item"), F.lit(10))
-    train, test = table.filter(slot < 8), table.filter(slot >= 8)
-    return recommend.fit_als(train, seed=SEED).transform(test)
+    table = recommend.ratings_table(lines, F.col("l_suppkey"), F.col("l_partkey"), F.col("l_quantity"))
+    return materialize(recommend.with_int_ids(materialize(table, "ratings")), "numbered-ratings")
+
+
+def _als(t):
+    table = _ratings(t)
+    slot = F.pmod(F.col("user") * 31 + F.col("item"), F.lit(10))
+    return recommend.predict(recommend.fit_als(table.filter(slot < 8), seed=SEED), table.filter(slot >= 8))
 
 
 @query("als_predictions")
@@ -213,11 +359,37 @@ def als_predictions(t):
     return _als(t).select("user", "item", "rating", "prediction")
 
 
+@query("als_rows", f"SELECT user, item, round(rating, 6) AS rating FROM {_RATINGS_SQL} WHERE {_HELD}")
+def als_rows(t):
+    """Every held-out pair stays, whether the fit has seen its user and item or not."""
+    return _als(t).select("user", "item", F.round("rating", 6).alias("rating"))
+
+
 @query("als_top3")
 def als_top3(t):
     return recommend.recommend(_als(t).select("user", "item", "prediction"), 3)
 
 
+@query(
+    "als_top3_rows",
+    f"SELECT user, least(count(*), 3) AS items FROM {_RATINGS_SQL} WHERE {_HELD} GROUP BY user",
+)
+def als_top3_rows(t):
+    """Three items a user, or as many as there are."""
+    return als_top3(t).groupBy("user").agg(F.count(F.lit(1)).alias("items"))
+
+
+@query("als_user_list")
+def als_user_list(t):
+    """The ten best items of the whole catalogue for the supplier of the least key."""
+    table = _ratings(t)
+    model = recommend.fit_als(table, seed=SEED)
+    user = table.orderBy("user").limit(1).select("user_id")
+    listed = recommend.recommend_unseen(model, user, 10)
+    items = table.select("item_id", "item").distinct()
+    return listed.join(items, "item_id").select("item", "prediction")
+
+
 @query(
     "rmse",
     "SELECT round(sqrt(avg((l_quantity - l_linenumber * 7) ** 2)), 6) AS rmse FROM lineitem",

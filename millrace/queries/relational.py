@@ -5,48 +5,9 @@ from pyspark.sql import functions as F
 from millrace.functions.text import term_counts, words
 from millrace.operators import relational as ops
 from millrace.registry import query
-from millrace.sources.files import spread, union_all
+from millrace.sources.files import union_all
 from millrace.sources.sinks import register_view
 
-# Meal names of the codes 0 to 31, and the name for a missing code.
-MEALS = {
-    0: "Cheese Pizza",
-    1: "Burrito",
-    2: "Chicken Curry",
-    3: "Spicy Chicken Nuggest",
-    4: "Pretzels and Cheese Plate",
-    5: "Hamburger",
-    6: "Spicy Pork Sliders",
-    7: "Nachos",
-    8: "Chicken Chow Mein",
-    9: "Taco Surprise",
-    10: "Roasted Eggplant ",
-    11: "Meatloaf",
-    12: "Ceaser Salad",
-    13: "Mandarin Chicken PLate",
-    14: "Kung Pao Chicken",
-    15: "BBQ Ribs",
-    16: "Fried Rice Plate",
-    17: "Sushi Plate",
-    18: "Pepperoni Pizza",
-    19: "Cheesesteak Sandwhich",
-    20: "Southwest Salad",
-    21: "Lasagna",
-    22: "Pulled Pork Plate",
-    23: "Orange Chicken",
-    24: "Chili",
-    25: "Roast Beef Sandwich",
-    26: "Spicy Beef Plate",
-    27: "Salmon with Mashed Potatoes",
-    28: "Penne Tomatoe Pasta",
-    29: "Pork Sliders",
-    30: "Vietnamese Sandwich",
-    31: "Chicken Wrap",
-}
-NO_MEAL = "Cowboy Burger"
-_MEAL_ROWS = ", ".join(f"({code}, '{name}')" for code, name in MEALS.items())
-
-
 @query("project_columns", "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders")
 def project_columns(t):
     return t.orders.select("o_orderkey", "o_totalprice", "o_orderdate")
@@ -171,12 +132,14 @@ def null_above(t):
 
 @query(
     "code_lookup",
-    f"""SELECT p_partkey, CASE WHEN p_size > 31 THEN '{NO_MEAL}' ELSE name END AS meal_name
-        FROM part LEFT JOIN (VALUES {_MEAL_ROWS}) AS m(code, name) ON m.code = p_size""",
+    """SELECT s_suppkey, CASE WHEN s_nationkey > 20 THEN 'elsewhere' ELSE n_name END AS nation_name
+       FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey""",
 )
 def code_lookup(t):
-    coded = t.part.select("p_partkey", ops.null_above(F.col("p_size"), 31).alias("meal"))
-    return ops.map_codes(coded, "meal", MEALS, "meal_name", missing=NO_MEAL).drop("meal")
+    """Names of nation codes; codes above 20 are taken for missing."""
+    coded = t.supplier.select("s_suppkey", ops.null_above(F.col("s_nationkey"), 20).alias("nation"))
+    names = t.nation.select("n_nationkey", "n_name")
+    return ops.map_codes(coded, "nation", names, "nation_name", missing="elsewhere").drop("nation")
 
 
 @query("distinct_rows", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")
@@ -245,7 +208,7 @@ def argmax_row(t):
         GROUP BY word ORDER BY count DESC, word LIMIT 10""",
 )
 def top_k_tokens(t):
-    counts = term_counts(spread(t.documents.select("text")), words(F.col("text")), "word")
+    counts = term_counts(t.documents.select("text"), words(F.col("text")), "word")
     return ops.first_n(counts, 10, F.col("count").desc(), "word")
 
 

@@ -135,7 +135,7 @@ def udf_sql_registered(t):
 def udf_sql_scalar(t):
     register_udfs(t.spark)
     register_view(t.orders, "millrace_totals")
-    return t.spark.sql("SELECT o_orderkey, convert_total_deaths(o_custkey) AS converted FROM millrace_totals")
+    return t.spark.sql("SELECT o_orderkey, double_whole(o_custkey) AS converted FROM millrace_totals")
 
 
 _TOKENS = (

@@ -6,6 +6,7 @@ from millrace.functions.scalars import has_keyword
 from millrace.registry import query
 from millrace.streaming import counts
 from millrace.streaming.runs import run_append, stream_files
+from millrace.workspace import fresh_path
 
 
 def _stream(t, name):
@@ -22,6 +23,42 @@ def stream_word_count(t):
     return counts.word_count(_stream(t, "conversations"), "text")
 
 
+_PARTS = 3
+
+
+@query(
+    "stream_word_batches",
+    f"""SELECT CAST(conv_id % {_PARTS} AS BIGINT) AS batch_id, word, count(*) AS count FROM
+         (SELECT conv_id, unnest(string_split(replace(text, chr(10), ' '), ' ')) AS word FROM conversations)
+       GROUP BY batch_id, word""",
+)
+def stream_word_batches(t):
+    """Three arrivals of eight files each, in batches of eight files: one batch an arrival."""
+    path = fresh_path(t.spark, "arrivals")
+    for part in range(_PARTS):
+        arrived = t.conversations.filter(F.pmod("conv_id", F.lit(_PARTS)) == part)
+        arrived.repartition(8).write.mode("append").parquet(path)
+    stream = stream_files(t.spark, f"{path}/part-*", t.conversations.schema, max_files=8)
+    return counts.word_count(stream, "text")
+
+
+@query(
+    "stream_watermark_counts",
+    """SELECT window_start, event_type, count(*) AS count FROM
+         (SELECT event_type, make_timestamp(((epoch_us(ts) // 36000000000) - k) * 36000000000) AS window_start
+          FROM events, (VALUES (0), (1)) AS s(k)) GROUP BY window_start, event_type""",
+)
+def stream_watermark_counts(t):
+    """Days arrive in order, eight files a batch; windows two days behind the newest event are closed."""
+    path = fresh_path(t.spark, "days")
+    events = t.events.select("ts", "event_type")
+    for part in range(_PARTS):
+        third = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(_PARTS - 1))
+        events.filter(third == part).repartition(8).write.mode("append").parquet(path)
+    stream = stream_files(t.spark, f"{path}/part-*", events.schema, max_files=8)
+    return counts.windowed_counts(stream, "ts", "event_type", width="20 hours", slide="10 hours", watermark="2 days")
+
+
 @query(
     "stream_batch_heads",
     """SELECT CAST(0 AS BIGINT) AS batch_id, word, count(*) AS count FROM

@@ -6,11 +6,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as ops
-from millrace.operators.features import fit_stages, sparse_columns
-from millrace.plans.text_classes import text_stages, with_length
+from millrace.plans import text_classes
+from millrace.plans.text_classes import with_length
 from millrace.queries.scalars import _TOKENS
 from millrace.registry import query
-from millrace.sources.files import spread
 
 STOP = ["and", "the", "of", "in", "with", "that", "is", "le", "la", "un", "der", "und"]
 _STOP = ", ".join(f"'{w}'" for w in STOP)
@@ -22,7 +21,7 @@ _STOP = ", ".join(f"'{w}'" for w in STOP)
           (SELECT doc_id, {_TOKENS} AS tokens FROM documents)""",
 )
 def tokenize(t):
-    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("doc_id", "text").select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("tokens"), F.get("tokens", F.lit(0)).alias("first_token"))
 
 
@@ -33,7 +32,7 @@ def tokenize(t):
            FROM documents)""",
 )
 def tokenize_regex(t):
-    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize_regex(F.col("text"), r"\W").alias("tokens"))
+    tokens = t.documents.select("doc_id", "text").select("doc_id", ops.tokenize_regex(F.col("text"), r"\W").alias("tokens"))
     return tokens.select("doc_id", F.size("tokens").alias("tokens"), F.get("tokens", F.lit(0)).alias("first_token"))
 
 
@@ -44,7 +43,7 @@ def tokenize_regex(t):
             (SELECT doc_id, {_TOKENS} AS tokens FROM documents))""",
 )
 def stopword_removal(t):
-    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("doc_id", "text").select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     return tokens.select(
         "doc_id", F.size("tokens").alias("tokens"), F.size(ops.remove_stopwords(F.col("tokens"), STOP)).alias("kept")
     )
@@ -57,14 +56,14 @@ def stopword_removal(t):
         GROUP BY bigram""",
 )
 def bigrams(t):
-    tokens = spread(t.documents.select("text")).select(ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("text").select(ops.tokenize(F.col("text")).alias("tokens"))
     return ops.term_counts(tokens, ops.ngrams(F.col("tokens"), 2), "bigram")
 
 
 @query("hashing_tf")
 def hashing_tf(t):
     """Term frequencies hashed into 20 buckets."""
-    tokens = spread(t.documents.select("doc_id", "text")).select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
+    tokens = t.documents.select("doc_id", "text").select("doc_id", ops.tokenize(F.col("text")).alias("tokens"))
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=20).transform(tokens)
     return hashed.select("doc_id", vector_to_array("tf").alias("tf"))
 
@@ -78,7 +77,7 @@ def hashing_tf(t):
 )
 def vocabulary_counts(t):
     """The 1,000 most frequent terms of two documents or more, numbered."""
-    terms = ops.vocabulary(spread(t.documents.select("text")), ops.tokenize(F.col("text")), size=1000, min_docs=2)
+    terms = ops.vocabulary(t.documents.select("text"), ops.tokenize(F.col("text")), size=1000, min_docs=2)
     position = F.row_number().over(Window.orderBy(F.col("count").desc(), "term")) - 1
     return terms.withColumn("index", position)
 
@@ -91,7 +90,7 @@ def vocabulary_counts(t):
         SELECT doc_id, term, tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tf_idf FROM tf JOIN df USING (term)""",
 )
 def tf_idf(t):
-    table = ops.tf_idf(spread(t.documents.select("doc_id", "text")), "doc_id", ops.tokenize(F.col("text")))
+    table = ops.tf_idf(t.documents.select("doc_id", "text"), "doc_id", ops.tokenize(F.col("text")))
     return table.withColumns({"idf": F.round("idf", 6), "tf_idf": F.round("tf_idf", 6)})
 
 
@@ -115,12 +114,16 @@ def labelled_texts(t):
         FROM msg JOIN classes USING (class) LEFT JOIN sums USING (doc_id)""",
 )
 def text_features(t):
-    """Feature table of the labelled texts: label index, and terms and weight of the tf-idf vector."""
-    table = labelled_texts(t)
-    fitted = fit_stages(table, text_stages(stop=STOP)).transform(table)
-    weights = sparse_columns(fitted, "tf_idf", "terms", "weights")
-    return weights.select(
-        "doc_id", "class", "label", "length",
-        F.size("terms").alias("terms"),
-        F.round(F.aggregate("weights", F.lit(0.0), lambda s, x: s + x), 4).alias("weight"),
-    )
+    """Feature table of the labelled texts: label index, and terms and weight of the tf-idf of the whole vocabulary."""
+    table = text_classes.text_features(labelled_texts(t), "doc_id", stop=STOP)
+    weight = F.aggregate(F.map_values("weights"), F.lit(0.0), lambda s, x: s + x)
+    return table.select("doc_id", "class", "label", "length", F.size("weights").alias("terms"), F.round(weight, 4).alias("weight"))
+
+
+@query(
+    "hashing_tf_totals",
+    f"SELECT doc_id, CAST(len({_TOKENS}) AS DOUBLE) AS tokens FROM documents",
+)
+def hashing_tf_totals(t):
+    """The hashed frequencies of a text add up to its tokens."""
+    return hashing_tf(t).select("doc_id", F.aggregate("tf", F.lit(0.0), lambda s, x: s + x).alias("tokens"))

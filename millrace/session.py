@@ -12,18 +12,15 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-}
-
-# Settings for sessions built here. State of the streaming aggregations lives in
-# RocksDB, so it may grow past the executor heap.
-BUILD_SETTINGS = {
-    **RUNTIME_SETTINGS,
-    "spark.ui.enabled": "false",
+    # State of streaming aggregations may grow past the executor heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
 }
 
+# Settings for sessions built here.
+BUILD_SETTINGS = {**RUNTIME_SETTINGS, "spark.ui.enabled": "false"}
+
 
 def build_session(app_name: str = "millrace", **settings: str) -> SparkSession:
     """Session with the library's settings; the master comes from spark-submit."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,30 +40,16 @@ def scan_tsv(spark: SparkSession, path: str, names: Sequence[str], *, quote: str
 def scan_csv_skip(spark: SparkSession, path: str, skip: int, schema: Schema | None = None) -> DataFrame:
     """CSV whose files start with ``skip`` preamble lines and then a header line.
 
-    Line numbers are only needed at the head of each file, i.e. in its first
-    split, where the running row id grows by one a line. The ids of the first
-    lines form a table of one row per file (smaller than the list of files the
-    driver holds for any scan, hence broadcast); everything else is a plain scan.
+    One scan of the lines: the tasks that hold the beginning of a file drop its first lines
+    and compare its header with that of the first file. Another header is an error, never
+    shifted values, and so is a quoted value that holds a line end, which lines cannot
+    carry. Empty lines are no rows. Without ``schema`` all columns are strings, named by the header.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-    )
-    heads = (
-        lines.filter(F.col("block_start") == 0)
-        .groupBy("file")
-        .agg(F.min("line_id").alias("first_id"))
-    )
-    line_number = F.when(F.col("block_start") == 0, F.col("line_id") - F.col("first_id"))
-    numbered = lines.join(F.broadcast(heads), "file").withColumn("line_number", line_number)
+    head = [r["value"] for r in spark.read.text(path).take(skip + 1)]  # of the first file
+    if len(head) <= skip:
+        raise ValueError(f"no header after {skip} lines in {path}")
+    header = head[skip]
     if schema is None:
-        header = (
-            numbered.filter(F.col("line_number") == skip)
-            .agg(F.min_by("value", "file").alias("value"))
-            .first()["value"]
-        )
         names = spark.createDataFrame([(header,)], "value string").select(
             F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(header.count(",") + 1))).alias("r")
         )
@@ -71,9 +58,37 @@ def scan_csv_skip(spark: SparkSession, path: str, skip: int, schema: Schema | No
     ddl = schema if isinstance(schema, str) else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
     )
-    is_data = F.col("line_number").isNull() | (F.col("line_number") > skip)
+
+    def below_header(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        seen, line = None, 0  # lines met so far in the beginning of the file ``seen``
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            values = batch.column("value")
+            first = np.flatnonzero(batch.column("block_start").to_numpy() == 0)
+            files_ = batch.column("file")
+            for i in first.tolist():
+                file = files_[i].as_py()
+                if file != seen:
+                    seen, line = file, 0
+                if line <= skip:
+                    keep[i] = False
+                    if line == skip and values[i].as_py().rstrip("\r") != header.rstrip("\r"):
+                        raise ValueError(f"the header of {file} is not {header!r}")
+                    line += 1
+            keep &= pc.not_equal(values, "").to_numpy(zero_copy_only=False)
+            rows = values.filter(pa.array(keep))
+            if pc.any(pc.equal(pc.bit_wise_and(pc.count_substring(rows, '"'), 1), 1)).as_py():
+                raise ValueError(f"a quoted value in {path} holds a line end")
+            yield pa.record_batch([rows], ["value"])
+
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start")
+    )
     return (
-        numbered.filter(is_data & (F.trim("value") != ""))
+        lines.mapInArrow(below_header, "value string")
         .select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("row"))
         .select("row.*")
     )
@@ -121,19 +136,21 @@ def from_rows(spark: SparkSession, rows: Sequence, schema: Schema | Sequence[str
 
 
 def coerce(df: DataFrame, types: Mapping[str, str], fill=0) -> DataFrame:
-    """Cast columns, turning what is missing or unreadable into ``fill`` (text stays null).
+    """Cast columns, turning what is missing or unreadable into ``fill`` where that can be of the type, else null.
 
-    Whole-number targets are read as numbers first, so '12.7' becomes 12.
+    Whole-number targets are read as numbers first, so '12.7' becomes 12. Text, dates, times and
+    truth values have no number to fill in and stay null.
     """
 
     def cast(name: str, target: str) -> Column:
         source = F.col(f"`{name}`")
-        if target in ("string",):
-            return source.cast(target)
-        if target in ("int", "bigint", "long", "integer", "smallint", "tinyint"):
+        kind = target.lower()
+        if kind in ("int", "bigint", "long", "integer", "smallint", "tinyint"):
             exact = source.try_cast(target)
             return F.coalesce(exact, source.try_cast("double").try_cast(target), F.lit(fill).cast(target))
-        return F.coalesce(source.try_cast(target), F.lit(fill).cast(target))
+        if kind in ("double", "float", "real") or kind.startswith("decimal"):
+            return F.coalesce(source.try_cast(target), F.lit(fill).cast(target))
+        return source.try_cast(target)
 
     return df.withColumns({name: cast(name, target) for name, target in types.items()})
 
@@ -143,12 +160,6 @@ def range_source(spark: SparkSession, start: int, end: int) -> DataFrame:
     return spark.range(start, end)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the cluster has cores, dealt out to all cores.
-
-    For work that is heavy on the processor (text, iterative fits) on files too few
-    to keep the cores busy. A scan with enough splits, as any large one has, is
-    returned as it is and never shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Rows dealt out evenly to ``partitions`` tasks, for work heavy on the processor after a scan of few splits."""
+    return df.repartition(partitions)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOT: list[str] = []
+_WRITTEN: list[str] = []
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -29,7 +30,8 @@ def shared_root(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other job uses."""
-    return f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(f"{shared_root(spark)}/millrace/{label}-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -42,3 +44,12 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what this session has written through ``fresh_path``; frames that read it are void afterwards."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -3,11 +3,12 @@
 import pytest
 from conftest import SMALL, rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from millrace.models import clusters, linear, metrics, recommend, trees
+from millrace.models import bayes, clusters, linear, metrics, recommend, trees
 from millrace.operators import features
 from millrace.plans import stocks
 
@@ -34,10 +35,10 @@ def test_null_rows_are_skipped_or_kept_as_told(spark):
 
 def test_assembled_vector(spark):
     df = spark.createDataFrame(
-        [(0, 18, 1.0, Vectors.dense([0.0, 10.0, 0.5]), 1.0)], ["id", "hour", "mobile", "userFeatures", "clicked"]
+        [(7, 3, 2.5, Vectors.dense([4.0, 0.0]), 0.0)], ["key", "depth", "width", "parts", "target"]
     )
-    vector = features.assemble(df, ["hour", "mobile", "userFeatures"]).first()["features"]
-    assert vector.toArray().tolist() == [18.0, 1.0, 0.0, 10.0, 0.5]
+    vector = features.assemble(df, ["width", "parts", "depth"]).first()["features"]
+    assert vector.toArray().tolist() == [2.5, 4.0, 0.0, 3.0]
 
 
 def test_classification_metrics_equal_mllib(spark):
@@ -65,7 +66,7 @@ def test_splits(spark):
     assert a.count() + b.count() == 1000 and rows(a) == rows(again)
 
 
-@pytest.mark.parametrize("name", ["logistic_scores", "tree_scores", "forest_scores", "gbt_scores", "naive_bayes_scores"])
+@pytest.mark.parametrize("name", ["logistic_scores", "tree_scores", "forest_scores", "gbt_scores"])
 def test_scores_are_probabilities(spark, name):
     scored = QUERIES[name](spark, SMALL)
     low, high, n, labels = scored.agg(F.min("p1"), F.max("p1"), F.count("p1"), F.count_distinct("prediction")).first()
@@ -119,7 +120,7 @@ def test_ratings_are_averaged_and_complete(spark):
 def test_als(spark, ratings):
     table = recommend.with_int_ids(recommend.ratings_table(ratings, F.col("u"), F.col("i"), F.col("r")))
     model = recommend.fit_als(table, seed=3)
-    scored = model.transform(table)
+    scored = recommend.predict(model, table)
     assert scored.count() == table.count()
     assert metrics.rmse(scored, "rating", "prediction").first()["rmse"] < 1.0
     top = recommend.recommend(scored, 3)
@@ -136,6 +137,63 @@ def test_wide_ids_are_renumbered(spark, ratings):
     assert table.count() == ratings.count()
 
 
+@pytest.mark.parametrize("kind", ["string", "double"])
+def test_ids_of_any_type_stay_apart(spark, kind):
+    data = [("1.2", "a", 1.0), ("1.9", "b", 2.0), ("7", "a", 3.0)]
+    df = spark.createDataFrame(data, "u string, i string, r double").withColumn("u", F.col("u").cast(kind))
+    table = recommend.with_int_ids(recommend.ratings_table(df, F.col("u"), F.col("i"), F.col("r")))
+    assert table.select("user_id").distinct().count() == 3 and table.select("item_id").distinct().count() == 2
+
+
+def test_pairs_unseen_in_the_fit_stay(spark, ratings):
+    table = recommend.with_int_ids(recommend.ratings_table(ratings, F.col("u"), F.col("i"), F.col("r")))
+    scored = recommend.predict(recommend.fit_als(table.filter("user < 11"), seed=3), table)
+    assert scored.count() == table.count()
+    unseen = scored.filter("user = 11")
+    assert unseen.count() > 0 and unseen.filter("prediction is not null").count() == 0
+    assert recommend.recommend(scored, 3).filter("user = 11").count() == 3
+
+
+def test_rows_with_missing_features_stay_unscored(spark):
+    df = spark.range(100).select(F.col("id").cast("double").alias("x"), (F.col("id") % 2).cast("double").alias("y"))
+    holes = df.unionAll(spark.createDataFrame([(None, 1.0)], "x double, y double"))
+    for model in (linear.fit_linear(df, ["x"], "y"), linear.fit_logistic(df, ["x"], "y"), trees.fit_tree(df, ["x"], "y", seed=1)):
+        scored = linear.score(holes, model, ["x"])
+        assert scored.count() == 101
+        assert [r["x"] for r in scored.filter("prediction is null").collect()] == [None]
+    assert linear.probabilities(scored).filter("p1 is null").count() == 1
+    compared = trees.compare_models(df, holes, ["x"], "y", seed=1)
+    assert all(r["accuracy"] < 1 for r in compared.collect())
+
+
+def test_the_logistic_fit_ends_by_itself(spark, tables):
+    from millrace.queries.models import LINE, _status
+
+    model = linear.fit_logistic(_status(tables), LINE, "label")
+    assert model.summary.totalIterations < model.getMaxIter() == 100
+
+
+def test_naive_bayes_equals_mllib(spark):
+    texts = [(0, "a b b c", 0), (1, "a a c", 0), (2, "d d b", 1), (3, "d e", 1), (4, "e a", 1)]
+    df = spark.createDataFrame(texts, "id int, text string, label int").withColumn("words", F.split("text", " "))
+    weights = df.select("id", F.explode("words").alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    ours = bayes.classify(bayes.score_terms(bayes.fit_terms(weights, df, "id"), weights, df, "id"), "id")
+    vectors = CountVectorizer(inputCol="words", outputCol="f").fit(df).transform(df)
+    theirs = trees.fit_naive_bayes(vectors, "f", "label").transform(vectors)
+    expected = {r["id"]: (r["prediction"], max(r["probability"])) for r in theirs.collect()}
+    got = {r["id"]: (r["prediction"], r["probability"]) for r in ours.collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in expected.items()}
+    assert all(got[k][1] == pytest.approx(expected[k][1], abs=1e-9) for k in got)
+
+
+def test_text_stages_need_a_bound():
+    from millrace.plans.text_classes import text_stages
+
+    with pytest.raises(ValueError):
+        text_stages()
+    assert len(text_stages(buckets=16)) == len(text_stages(vocab_size=10)) == 6
+
+
 def test_stock_answers(spark):
     data = [("2012-01-03", 10.0, 60.0, 9.0, 50.0, 100), ("2012-02-03", 10.0, 90.0, 9.0, 70.0, 300),
             ("2013-01-03", 10.0, 90.0, 9.0, 80.0, 200)]

@@ -83,6 +83,8 @@ def test_map_codes(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (9.0,)], "code double")
     labelled = relational.map_codes(df, "code", {1: "one", 2: "two"}, "label", missing="none")
     assert rows(labelled) == [(1.0, "one"), (2.0, "two"), (9.0, None), (None, "none")]
+    table = spark.createDataFrame([(1, "one"), (2, "two")], "c int, name string")
+    assert rows(relational.map_codes(df, "code", table, "label", missing="none")) == rows(labelled)
 
 
 def test_percent_text_and_ratio(spark):
@@ -119,12 +121,6 @@ def test_argmax_and_top_n(sales):
     ]
 
 
-def test_small_side_is_size_checked(spark):
-    df = spark.range(10)
-    assert "ResolvedHint" in relational.small_side(df, 10)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in relational.small_side(df, 9)._jdf.queryExecution().analyzed().toString()
-
-
 def test_profiles(sales):
     row = aggregates.profile(sales, ["sales"]).first()
     assert row["count"] == 12.0 and row["min"] == 120.0 and row["max"] == 870.0

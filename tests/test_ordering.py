@@ -3,10 +3,13 @@
 import random
 
 import numpy as np
+import pytest
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from millrace.models.metrics import auc
 from millrace.operators.features import dense_ids, index_category
+from millrace.operators import ordering
 from millrace.operators.ordering import exact_quantiles, global_row_number, running_total
 
 
@@ -40,12 +43,25 @@ def test_exact_quantiles_with_a_hot_value(spark):
             assert abs(got[name, p] - np.quantile(values, p)) < 1e-12
 
 
-def test_index_category_both_ways(spark):
+def test_quantiles_of_many_distinct_values_in_brackets(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "_FEW", 20)
+    monkeypatch.setattr(ordering, "_BINS", 8)
+    rng = np.random.default_rng(3)
+    a = np.concatenate([rng.normal(size=3000), rng.normal(size=50) * 1e200, [1e308, -1e308]])
+    df = spark.createDataFrame([(float(x), None) for x in a], "a double, empty double").repartition(4)
+    got = {(r["column"], r["p"]): r["value"] for r in exact_quantiles(df, ["a", "empty"], (0.0, 0.01, 0.5, 0.77, 1.0)).collect()}
+    for p in (0.0, 0.01, 0.5, 0.77, 1.0):
+        assert got["a", p] == pytest.approx(np.quantile(a, p), rel=1e-12)
+        assert got["empty", p] is None
+
+
+def test_index_category(spark):
     data = [("a",), ("b",), ("c",), ("a",), ("a",), ("c",), (None,)]
     df = spark.createDataFrame(data, "category string")
-    by_model = {r[0]: r[1] for r in index_category(df, "category", "i").collect()}
-    on_executors = {r[0]: r[1] for r in index_category(df, "category", "i", model_labels=1).collect()}
-    assert by_model == on_executors == {"a": 0.0, "c": 1.0, "b": 2.0, None: None}
+    got = {r[0]: r[1] for r in index_category(df, "category", "i").collect()}
+    assert got == {"a": 0.0, "c": 1.0, "b": 2.0, None: None}
+    model = StringIndexer(inputCol="category", outputCol="i", handleInvalid="skip").fit(df)
+    assert {r[0]: r[1] for r in model.transform(df.na.drop()).select("category", "i").collect()} == {k: v for k, v in got.items() if k}
 
 
 def test_dense_ids(spark):

@@ -1,5 +1,7 @@
 """Plans and hot keys: what must hold for the jobs to run on large, skewed data."""
 
+from pathlib import Path
+
 import pytest
 from conftest import SMALL, rows
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from millrace.functions.text import tf_idf
 from millrace.operators import relational, windows
+from millrace.registry import all_queries
 
 QUERIES = entry.queries()
 
@@ -184,5 +187,11 @@ def test_results_do_not_depend_on_partitioning(spark, tmp_path):
         assert rows(QUERIES[name](spark, str(tmp_path))) == rows(QUERIES[name](spark, SMALL)), name
 
 
-def test_names_and_imports():
-    assert not [n for n in QUERIES if "pipeline" in n or n.startswith("op")]
+def test_the_library_does_not_lean_on_the_text_operators():
+    """Nothing outside the subpackage imports it; the driver contract adds it only where it is present."""
+    root = Path(entry.__file__).parent
+    for path in root.glob("millrace/**/*.py"):
+        if "llm" not in path.relative_to(root).parts:
+            assert "millrace.llm" not in path.read_text(), path
+    assert set(all_queries()) <= set(QUERIES)
+    assert not [n for n in all_queries() if n == "pipeline" or n.startswith("op")]

@@ -43,6 +43,27 @@ def test_preamble_in_many_files(spark, tmp_path):
     assert named.columns == ["id", "label"] and named.count() == 250
 
 
+def test_preamble_never_shifts_values(spark, tmp_path):
+    write(tmp_path / "a" / "1.csv", "title\nid,name\n1,x\n")
+    write(tmp_path / "a" / "2.csv", "title\nname,id\ny,2\n")
+    with pytest.raises(Exception, match="header"):
+        files.scan_csv_skip(spark, str(tmp_path / "a"), 1).collect()
+    write(tmp_path / "b" / "1.csv", 'title\nid,name\n1,"a\nb"\n')
+    with pytest.raises(Exception, match="line end"):
+        files.scan_csv_skip(spark, str(tmp_path / "b"), 1).collect()
+    write(tmp_path / "c" / "1.csv", 'title\nname\n   \n\n"say ""hi"""\n')
+    assert files.scan_csv_skip(spark, str(tmp_path / "c"), 1).count() == 2  # blanks are a value, an empty line is none
+    plan = files.scan_csv_skip(spark, str(tmp_path / "c"), 1)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_rows_and_dates(spark):
+    literal = files.from_rows(spark, [(1, "2024-01-31"), (2, "n/a"), (3, None)], "k int, day string")
+    assert literal.count() == 3 and literal.columns == ["k", "day"]
+    dates = files.coerce(literal, {"day": "date"})
+    assert [str(r["day"]) for r in dates.orderBy("k").collect()] == ["2024-01-31", "None", "None"]
+
+
 def test_preamble_in_a_file_of_many_splits(spark, tmp_path):
     body = "".join(f"{j},{'x' * 50}\n" for j in range(20_000))
     path = write(tmp_path / "big.csv", f"title\nid,v\n{body}")

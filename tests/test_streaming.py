@@ -35,6 +35,10 @@ def batch(spark, folder):
     return spark.read.schema(SCHEMA).json(folder)
 
 
+def test_state_is_kept_outside_the_heap(spark):
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+
 def test_word_count_has_no_memory(spark, folder):
     counted = counts.word_count(stream(spark, folder), "text")
     assert counted.select("batch_id").distinct().count() == 3

@@ -97,7 +97,7 @@ def test_udfs_and_their_native_forms(spark):
     spark.createDataFrame([(2.0, 2**31, ["a", "b"]), (None, None, None)], "wt double, d long, w array<string>") \
         .createOrReplaceTempView("cars_v")
     got = spark.sql(
-        "SELECT convert_weight(wt) AS a, convert_mileage(wt) AS b, convert_total_deaths(d) AS c, count_tokens(w) AS n FROM cars_v"
+        "SELECT convert_weight(wt) AS a, convert_mileage(wt) AS b, double_whole(d) AS c, count_tokens(w) AS n FROM cars_v"
     ).collect()
     assert got[0]["a"] == pytest.approx(0.9) and got[0]["b"] == pytest.approx(0.85)
     assert got[0]["c"] == 2**32 and got[0]["n"] == 2

@@ -39,6 +39,7 @@ from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, pre
 from millrace.llm.bloom import shared_filter
 from millrace.llm.components import components
 from millrace.llm.settings import tuned
+from millrace.operators.relational import one_per_key
 from millrace.workspace import materialize
 
 WORDS, LEAST = 5, 0.8
@@ -304,7 +305,8 @@ def with_root(docs: DataFrame, least: float = LEAST) -> DataFrame:
 def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, class_id), one row for each row of ``docs``."""
     rows = with_root(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), least).select("row.doc_id", "root")
-    return rows.join(rows.groupBy("root").agg(F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")
+    # A class may hold a third of all rows; the join can split it (see ``one_per_key``).
+    return rows.join(one_per_key(rows, ["root"], F.min("doc_id").alias("class_id")), "root").select("doc_id", "class_id")
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:

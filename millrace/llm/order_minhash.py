@@ -29,7 +29,7 @@ from millrace.operators.ordering import global_row_number
 GRAM, BINS = 5, 64
 _PLACE = 26  # bits of a position
 _RANK = 31  # bits that order a bin
-_IDS = 12  # 2**12 neighbouring ids share a group
+_IDS = 10  # 2**10 neighbouring ids share a group
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -127,7 +127,7 @@ def written(a: Column) -> Column:
 def with_next(texts: DataFrame) -> DataFrame:
     """(doc_id, own, next): text and signature of each row and of the row with the next lower id.
 
-    The lowest is followed by the highest. A group holds at most 2**12 distinct ids,
+    The lowest is followed by the highest. A group holds at most 2**10 distinct ids,
     whatever their values. Within it the next row is the one behind; only the last row of
     a group needs the first one of the next group, and only these travel a second time.
     """

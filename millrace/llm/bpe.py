@@ -15,6 +15,9 @@ Texts are read in pieces that end before a blank. The vocabulary file is a param
 bytes go to the executors once, and each worker keeps bounded stores of what it has seen
 between blanks, of words, and of the transducer's states after the beginnings of words.
 
+Letters and digits that Unicode added after the library's tables were made (a few blocks past
+16.0) are cut by the newer tables of Python's pattern engine, so texts with them may differ from the library's.
+
 Defined results: a null text is empty and has no tokens; strings of special tokens in a text
 become their ids; repeated rows give repeated results; columns other than ``doc_id`` and
 ``text`` are not read.

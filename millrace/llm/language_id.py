@@ -36,6 +36,7 @@ KINDS = 7
 LEXICON = 1 << 18
 ROUNDS = 12
 UNKNOWN = "und"
+ACCEPTED = 0.3  # a short clean text may be this unsure; no language of a text without one comes near it
 
 
 def held_out() -> Column:
@@ -196,7 +197,7 @@ def identify(docs: DataFrame) -> DataFrame:
     return found.withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
 
 
-def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
+def accepted(docs: DataFrame, least: float = ACCEPTED) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text is in a learned language by at least ``least`` of its words."""
     shared = tuned(docs.sparkSession).sparkContext.broadcast(fit_on(docs, ~held_out()))
 

@@ -4,7 +4,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators import windows as ops
 from millrace.operators.relational import in_year
+from millrace.plans import weather
 from millrace.registry import query
+from millrace.sources import files, sinks
+from millrace.workspace import fresh_path
 
 _DAILY = """
 daily AS (
@@ -86,3 +89,45 @@ def yoy_days_within_faithful(t):
 )
 def yoy_days_equal_faithful(t):
     return ops.yoy_days(ops.yoy_lag_faithful(daily_quantity(t), ["city"]), 1998)
+
+
+def _weather_files(t):
+    """The inputs of the weather job as files: suppliers are stations in their nation, shipped quantities the readings."""
+    spark = t.spark
+    grid = {"latitude": F.col("n_nationkey") * 0.5 + 40, "longitude": F.col("n_nationkey") * 1.0 - 100}
+    nations = t.nation.withColumns(grid)
+    places = {"name": F.col("n_name"), "category": F.lit("city"), "status.code": F.lit(1), "concise.code": F.lit("CITY"),
+              "province.code": F.col("n_regionkey"), "decision": F.lit("1990-01-01")}
+    stations = {"Name": F.col("s_name"), "Province": F.col("n_regionkey"), "Climate ID": F.col("s_suppkey"),
+                "Station ID": F.col("s_suppkey"), "Latitude (Decimal Degrees)": F.col("latitude"),
+                "Longitude (Decimal Degrees)": F.col("longitude"), "Elevation (m)": F.lit(10.0), "First Year": F.lit(1990),
+                "Last Year": F.lit(2010)}
+    day = F.col("l_shipdate")
+    readings = {"Climate ID": F.col("l_suppkey"), "StationID": F.col("l_suppkey"), "Date/Time": F.to_date(day),
+                "Year": F.year(day), "Month": F.month(day), "Day": F.dayofmonth(day), "Max Temp (°C)": F.col("l_quantity") + 1,
+                "Min Temp (°C)": F.col("l_quantity") - 1, "Mean Temp (°C)": F.col("l_quantity")}
+    empty = [F.lit(None).cast("string").alias(c) for c in weather.FACT_COLUMNS if c not in readings]
+    located = t.supplier.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    tables = {
+        "places": nations.select("latitude", "longitude", *[v.alias(k) for k, v in places.items()]),
+        "stations": located.select(*[v.alias(k) for k, v in stations.items()]),
+        "readings": t.lineitem.select(*[v.alias(k) for k, v in readings.items()], *empty),
+    }
+    out = []
+    for name, table in tables.items():
+        path = fresh_path(spark, f"weather-{name}")
+        sinks.sink_csv(table, path)
+        out.append(files.scan_csv(spark, path))
+    return out
+
+
+_CITY_YOY = _YOY.replace("r_name AS city", "n_name AS city").replace("\n       JOIN region ON n_regionkey = r_regionkey", "")
+
+
+@query("weather_days_like_last_year", f'WITH {_CITY_YOY} SELECT count(DISTINCT date) AS "Count" FROM yoy WHERE year = 1998 AND delta < 1')
+def weather_days_like_last_year(t):
+    """The whole weather job: files, cleaning, stations and places by grid cell, the joined table, the yearly answer."""
+    places, station_list, raw = _weather_files(t)
+    located = weather.station_cities(weather.stations(station_list), weather.cities(places))
+    table = weather.denormalize(weather.clean(weather.fact(raw)), located)
+    return weather.days_like_last_year(table, 1998, 1.0)

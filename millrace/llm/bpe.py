@@ -31,6 +31,7 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -39,9 +40,9 @@ from pyspark.sql import functions as F
 from millrace.llm.settings import tuned
 
 PIECE = 1 << 16
-STORED_WORDS = 200_000
+STORED_WORDS = 400_000
 _NEVER = 1 << 60
-_EMPTY = (0, "", b"", ())
+_EMPTY = (0, "", b"")
 
 
 def byte_letters() -> list[str]:
@@ -92,7 +93,7 @@ class Merges:
         key = a << 20 | b
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 5 * STORED_WORDS:
+            if len(self.follows) > 2 * STORED_WORDS:
                 self.follows.clear()
             known = self.follows[key] = self.may_follow(a, b)
         return known
@@ -200,6 +201,7 @@ class Tokenizer:
         for token, i in ids.items():
             self.names[i] = token
         self.named = [t.encode() for t in self.names]
+        self.decimal = [str(i) for i in range(len(self.names))]
         back = {letter: b for b, letter in enumerate(self.letters)}
         self.plain = [self._plain(i, back) for i in range(len(self.names))]
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -207,7 +209,8 @@ class Tokenizer:
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.length = {i: len(t) for t, i in [*self.merges.inner.items(), *self.merges.final.items()]}
         self.ends: dict[str, int] = {}  # last token of a word's beginning
-        self.known: dict[str, tuple] = {}  # entries of words
+        self.known: dict[str, tuple] = {}  # tokens of words
+        self.known_before: dict[str, tuple] = {}
         self.fresh: dict[str, tuple] = {}  # entries of what stands between blanks, as it is written
         self.older: dict[str, tuple] = {}
 
@@ -243,7 +246,7 @@ class Tokenizer:
         return tuple(out[::-1])
 
     def _entry(self, written: str) -> tuple:
-        """(tokens, ids as text, bytes as the library writes them, ids) of what stands between two blanks."""
+        """(tokens, ids as text, bytes as the library writes them) of what stands between two blanks."""
         found = self.older.get(written)
         if found is None:
             ids: list[int] = []
@@ -254,13 +257,13 @@ class Tokenizer:
                 for word in self.words.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()):
                     own = self.known.get(word)
                     if own is None:
-                        own = self._word(word)
+                        own = self.known_before.get(word) or self._word(word)
                         if len(word) <= 64:
-                            if len(self.known) >= STORED_WORDS:
-                                self.known.clear()
+                            if len(self.known) >= STORED_WORDS // 2:
+                                self.known_before, self.known = self.known, {}
                             self.known[word] = own
                     ids += own
-            found = (len(ids), " ".join(map(str, ids)), b" ".join([self.named[i] for i in ids]), tuple(ids))
+            found = (len(ids), " ".join([self.decimal[i] for i in ids]), b" ".join([self.named[i] for i in ids]))
         if len(written) <= 64:
             if len(self.fresh) >= STORED_WORDS:
                 self.older, self.fresh = self.fresh, {}
@@ -287,7 +290,8 @@ class Tokenizer:
             at = to
 
     def encode(self, text: str) -> list[int]:
-        return [i for found in self.entries(text) for entry in found for i in entry[3]]
+        written = " ".join([entry[1] for found in self.entries(text) for entry in found])
+        return np.fromstring(written, np.int32, sep=" ").tolist()
 
     def library_text(self) -> ByteText:
         """Decoding as the file asks: it names no decoder, so tokens are written out with a space between."""
@@ -360,7 +364,7 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
                 total, ids, decoded, machine = 0, hashlib.sha256(), hashlib.sha256(), tokenizer.library_text()
                 for found in tokenizer.entries(text):
                     if found:
-                        counts, names, raw, _ = zip(*found)
+                        counts, names, raw = zip(*found)
                         ids.update(((" " if total else "") + " ".join(names)).encode())
                         decoded.update(machine.take(b" ".join(raw)).encode())
                         total += sum(counts)

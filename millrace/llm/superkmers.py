@@ -114,7 +114,7 @@ class Flush:
         bucket = (least[keep] % U64(self.buckets)).astype(np.int64)
         by = keep[np.argsort(bucket, kind="stable")]
         marks = np.searchsorted(np.sort(bucket), np.arange(self.buckets + 1))
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         for b in np.flatnonzero(np.diff(marks)).tolist():
             rows = by[marks[b] : marks[b + 1]]
             strings = [self.strings[i] for i in rows.tolist()]

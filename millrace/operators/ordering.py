@@ -18,9 +18,17 @@ from millrace.workspace import materialize
 _PART = "_part"
 
 
+# Rows of a range, about; Spark cuts the ranges by a sample, so one may hold up to twice as many.
+RANGE_ROWS = 2_000_000
+
+
 def _ranged(df: DataFrame, order: Sequence, label: str) -> DataFrame:
-    """Rows tagged with the ordinal of their range; stored, so the tags stay put."""
-    return materialize(df.repartitionByRange(*order).withColumn(_PART, F.spark_partition_id()), label)
+    """Rows tagged with the ordinal of their range; stored, so the tags stay put.
+
+    The rows are counted first: the number of ranges follows them, whatever the session's settings.
+    """
+    ranges = max(1, math.ceil(df.count() / RANGE_ROWS))
+    return materialize(df.repartitionByRange(ranges, *order).withColumn(_PART, F.spark_partition_id()), label)
 
 
 def running_total(df: DataFrame, order: Sequence[Column], value: Column, output: str) -> DataFrame:

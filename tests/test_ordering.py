@@ -43,6 +43,15 @@ def test_exact_quantiles_with_a_hot_value(spark):
             assert abs(got[name, p] - np.quantile(values, p)) < 1e-12
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "RANGE_ROWS", 500)
+    df = spark.range(10_000).select((F.col("id") * 7919 % 10_007).alias("k"))
+    sizes = [r["count"] for r in ordering._ranged(df, [F.col("k")], "test").groupBy("_part").count().collect()]
+    assert len(sizes) >= 15 and max(sizes) <= 1000
+    numbered = global_row_number(df, [F.col("k")], "n")
+    assert numbered.agg(F.min("n"), F.max("n"), F.count_distinct("n")).first() == (1, 10_000, 10_000)
+
+
 def test_quantiles_of_many_distinct_values_in_brackets(spark, monkeypatch):
     monkeypatch.setattr(ordering, "_FEW", 20)
     monkeypatch.setattr(ordering, "_BINS", 8)

@@ -190,7 +190,8 @@ def _vectors(docs: DataFrame, nodes: DataFrame, idf) -> DataFrame:
             yield pa.record_batch([rows.column("node"), pa.array(out, pa.binary())], ["node", "vector"])
 
     texts = docs.select(_text_hash().alias("node"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(thin, "node bigint, text string")
-    return texts.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text")).mapInArrow(
+    # Copies are put together in the tasks before they are shuffled.
+    return texts.groupBy("node").agg(F.min("text").alias("text")).join(nodes, "node", "left_semi").mapInArrow(
         build, "node bigint, vector binary")
 
 
@@ -310,6 +311,16 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One row of each class, with all its columns: that of the least id (nulls last), then the least text."""
-    order = Window.partitionBy("root").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
-    return with_root(docs, least).withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("row.*")
+    """One row of each class, with all its columns: that of the least id (nulls last), then the least text.
+
+    One row of each text is kept first, and the tasks cut their copies before they are shuffled.
+    """
+
+    def first_of(rows: DataFrame, group: str) -> DataFrame:
+        order = Window.partitionBy(group).orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
+        return rows.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")
+
+    linked = roots(docs.select("text"), least)
+    texts = first_of(docs.select(whole_row(docs), _text_hash().alias("node")), "node")
+    classed = texts.join(linked, "node", "left").select("row", F.coalesce("root", "node").alias("root"))
+    return first_of(classed, "root").select("row.*")

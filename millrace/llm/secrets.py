@@ -136,12 +136,18 @@ def tokens(data: np.ndarray, offsets: np.ndarray) -> Tokens:
 
 
 def training_sample(docs: DataFrame) -> list[str]:
-    """A bounded number of texts that may hold a secret and as many of all others, whatever the partitions."""
-    short = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES)).select("doc_id", "text")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    likely = F.col("text").rlike(LIKELY)
-    picked = [short.filter(c).orderBy(*order).limit(TEXTS).select("text") for c in (likely, ~likely)]
-    return sorted(r.text for r in picked[0].unionAll(picked[1]).collect())
+    """A bounded number of texts that may hold a secret and as many of all others, whatever the partitions.
+
+    Hashes are ranked first, so that the task that merges the ranks reads no texts; the texts of the
+    chosen ones are fetched by a second scan.
+    """
+    short = docs.filter(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES))
+    key = F.xxhash64("doc_id", "text")
+    ranked = short.select(key.alias("key"), F.col("text").rlike(LIKELY).alias("likely"))
+    picked = [ranked.filter(c).select("key").distinct().orderBy("key").limit(TEXTS) for c in ("likely", "not likely")]
+    keys = [r.key for r in picked[0].unionAll(picked[1]).collect()]
+    rows = short.select(key.alias("key"), "text").filter(F.col("key").isin(keys)).dropDuplicates(["key"])
+    return sorted(r.text for r in rows.collect())
 
 
 def fit(texts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:

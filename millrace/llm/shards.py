@@ -29,7 +29,9 @@ from millrace.llm.settings import tuned
 from millrace.workspace import fresh_path
 
 SHARDS, SEED = 8, 20240817
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 64 << 20
+# Smaller tables are cut finer, so that many tasks share them: up to MANY buckets of FINE_BYTES.
+MANY, FINE_BYTES = 1024, 2 << 20
 
 
 def _hash(docs: DataFrame, salt: int) -> Column:
@@ -53,11 +55,12 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_byt
     """All rows and columns of ``docs`` with ``shard`` and ``slot``, their place in the shard."""
     tuned(docs.sparkSession)
     docs = docs.drop("shard", "slot")
-    buckets = max(1, math.ceil(text_bytes(docs) / bucket_bytes))
+    total = text_bytes(docs)
+    buckets = max(1, math.ceil(total / bucket_bytes), min(MANY, math.ceil(total / FINE_BYTES)))
     bucket = F.pmod(_hash(docs, seed), F.lit(buckets)).cast("int")
     rows = docs.select(whole_row(docs), bucket.alias("_bucket"), _hash(docs, seed + 1).alias("_order"))
 
-    # One row for each bucket, that is for each BUCKET_BYTES of text.
+    # One row for each bucket: MANY, or one for each BUCKET_BYTES of text.
     upto = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = docs.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     places = sizes.select(

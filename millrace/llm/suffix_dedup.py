@@ -87,69 +87,75 @@ class Suffixes:
                 break
         return out
 
-    def merge_sort(self, places: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Sort the suffixes within each group; ``first`` and ``size`` describe the group of each slot.
+    def merge_sort(self, places: np.ndarray, group: np.ndarray) -> np.ndarray:
+        """Sort the suffixes within each group (neighbours of one ``group`` value); flags of those that occur twice.
 
-        All groups are merged at once, level by level: the new slot of a suffix is its own rank
-        plus its rank in the neighbouring run, found by binary search.
+        Runs are merged level by level, those of all groups at once: the new slot of a suffix is its
+        rank in its own run plus its rank in the neighbouring run, found by binary search. Of
+        equal suffixes one goes on, so a passage in many strings is not sorted over and over.
+        A group that a colliding hash left out of order, or short of a suffix, is sorted by its bytes.
         """
-        places = places.copy()
-        width, slots = 1, np.flatnonzero(size > 1)
-        while len(slots):
-            local = slots - first[slots]
-            run = local // width
-            other = (run ^ 1) * width
-            count = np.clip(size[slots] - other, 0, width)
-            right = (run & 1) == 1
-            low, high = np.zeros(len(slots), np.int64), count.copy()
-            own, begin = places[slots], first[slots] + other
-            open_ = np.flatnonzero(low < high)
+        flags, wrong = np.zeros(len(places), bool), [group[:0]]
+        order = run = np.arange(len(places))
+        while True:
+            begin = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+            length = np.diff(np.append(begin, len(run)))
+            owner = group[order[begin]]
+            runs = np.arange(len(begin))
+            odd = ((runs - np.searchsorted(owner, owner)) & 1) == 1
+            other = np.where(odd, runs - 1, np.minimum(runs + 1, len(runs) - 1))
+            paired = (other != runs) & (owner[other] == owner)
+            if not paired.any():
+                break
+            own = np.repeat(runs, length)
+            slots = np.flatnonzero(paired[own])
+            mine, rival_run = own[slots], other[own[slots]]
+            low, high = np.zeros(len(slots), np.int64), length[rival_run].copy()
+            suffix, start, right = places[order[slots]], begin[rival_run], odd[mine]
+            open_ = np.arange(len(slots))
             while len(open_):
                 middle = (low[open_] + high[open_]) >> 1
-                rival = places[begin[open_] + middle]
-                before = self.less(rival, own[open_], right[open_])  # equal ones: the left run goes first
+                rival = places[order[start[open_] + middle]]
+                before = self.less(rival, suffix[open_], right[open_])  # equal ones: the left run goes first
                 low[open_] = np.where(before, middle + 1, low[open_])
                 high[open_] = np.where(before, high[open_], middle)
                 open_ = open_[low[open_] < high[open_]]
-            places[first[slots] + (run >> 1) * 2 * width + local - run * width + low] = own
-            width *= 2
-            slots = slots[size[slots] > width]
-        return places
+            to = np.minimum(begin[mine], start) + slots - begin[mine] + low
+            merged = order.copy()
+            merged[to] = order[slots]
+            twice = np.bincount(to, minlength=len(order)) > 1
+            wrong.append(group[order[slots[twice[to]]]])
+            run = np.repeat(np.where(odd & paired, runs - 1, runs), length)
+            inner = np.flatnonzero(run[1:] == run[:-1])
+            one, two = places[merged[inner]], places[merged[inner + 1]]
+            like = np.flatnonzero(self.common(one, two) == self.span)
+            equal = inner[like[self.order(one[like], two[like]) == 0]]
+            flags[merged[equal]] = flags[merged[equal + 1]] = True
+            keep = np.ones(len(merged), bool)
+            keep[equal + 1] = False
+            order, run = merged[keep], run[keep]
+        inner = np.flatnonzero(run[1:] == run[:-1])
+        signs = self.order(places[order[inner]], places[order[inner + 1]])
+        wrong.append(group[order[inner[signs >= 0]]])
+        for g in np.unique(np.concatenate(wrong)).tolist():
+            members = np.flatnonzero(group == g)
+            raw = [self.data[p : p + self.span].tobytes() for p in places[members].tolist()]
+            by_bytes = sorted(range(len(raw)), key=raw.__getitem__)
+            flags[members] = False
+            for i, j in zip(by_bytes, by_bytes[1:]):
+                if raw[i] == raw[j]:
+                    flags[members[[i, j]]] = True
+        return flags
 
     def repeated(self, starts: np.ndarray, group: np.ndarray) -> np.ndarray:
         """Which of the suffixes at ``starts`` agree with another one of their group over ``span`` bytes."""
         order = np.lexsort((self.eight[starts], group))
         key, part = self.eight[starts[order]], group[order]
-        new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))
-        begin = np.flatnonzero(new)
-        length = np.diff(np.append(begin, len(order)))
-        size, first = np.repeat(length, length), np.repeat(begin, length)
-        tied = np.flatnonzero(size > 1)
+        tie = np.cumsum(np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) if len(order) else order
+        tied = np.flatnonzero(np.bincount(tie)[tie] > 1) if len(order) else order
         flags = np.zeros(len(starts), bool)
-        if not len(tied):
-            return flags
-        order, size = order[tied], size[tied]
-        new = np.append(True, first[tied][1:] != first[tied][:-1])
-        begin = np.flatnonzero(new)
-        first = np.repeat(begin, np.diff(np.append(begin, len(tied))))
-        members = starts[order]
-        index = np.full(len(self.prefix), -1, np.int64)
-        index[members] = order
-        places = self.merge_sort(members, first, size)
-        inner = np.flatnonzero(first[1:] == first[:-1])
-        signs = self.order(places[inner], places[inner + 1])
-        wrong = [first[inner[signs > 0]]]
-        if len(np.unique(places)) < len(places):  # two suffixes were given one slot
-            wrong.append(first[~np.isin(members, places)])
-        for group_at in np.unique(np.concatenate(wrong)).tolist():  # a hash lied: sort by bytes
-            to = group_at + int(size[group_at])
-            raw = {p: self.data[p : p + self.span].tobytes() for p in members[group_at:to].tolist()}
-            places[group_at:to] = sorted(raw, key=raw.__getitem__)
-            redo = (inner >= group_at) & (inner < to - 1)
-            signs[redo] = self.order(places[inner[redo]], places[inner[redo] + 1])
-        equal = inner[signs == 0]
-        flags[index[places[equal]]] = True
-        flags[index[places[equal + 1]]] = True
+        if len(tied):
+            flags[order[tied]] = self.merge_sort(starts[order[tied]], tie[tied])
         return flags
 
 

@@ -1,8 +1,7 @@
-"""Training documents that hold test items, found by rare n-gram seeds and scored by alignment.
+"""Training documents that hold test items, found by n-gram seeds and scored by alignment.
 
-1. Every run of ``GRAM`` words of an item is counted over all documents. Of each ``STRIDE``
-   neighbouring runs the rarest becomes a seed. Rarity is relative to the item, so an item that
-   leaked into a third of all documents has seeds like any other.
+1. Every run of ``GRAM`` words of an item is a seed, so an edited copy is found by any run that the
+   edits left whole.
 2. Documents that hold a seed are kept with the places of their seeds. A Bloom filter of at
    most ``bloom.BITS`` bits thins them out on the way; the join on the seed is exact, whatever
    the filter lets through.
@@ -31,7 +30,7 @@ from millrace.llm.bloom import shared_filter
 from millrace.llm.settings import tuned
 from millrace.workspace import materialize
 
-GRAM, STRIDE = 4, 2
+GRAM = 4
 LEAST = 0.5
 MATCH, MISS = 2, -1
 
@@ -64,43 +63,6 @@ def item_grams(items: DataFrame) -> DataFrame:
     return items.mapInArrow(apply, "item_id bigint, place bigint, gram bigint")
 
 
-def gram_counts(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(gram, df): in how many documents each of the given grams occurs (absent ones are left out)."""
-    shared = shared_filter(grams, "gram")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: list[np.ndarray] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            gram, n = np.unique(np.concatenate(seen), return_counts=True)
-            return pa.record_batch([pa.array(gram.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-        for _, data, offsets in blocks(batches, "text"):
-            words, hashes = _hashes(data, offsets)
-            found, text, _ = gram_hashes(hashes, words.first, GRAM)
-            hits = shared.value.hits(found)
-            if len(hits):
-                pairs = np.unique(np.stack([text[hits].astype(U64), found[hits]], 1), axis=0)
-                seen.append(pairs[:, 1])
-                size += len(pairs)
-            if size > 1 << 20:
-                yield out()
-                seen, size = [], 0
-        if seen:
-            yield out()
-
-    return docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(apply, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("df"))
-
-
-def seeds(docs: DataFrame, grams: DataFrame) -> DataFrame:
-    """(item_id, place, gram): the rarest of each ``STRIDE`` neighbouring runs of an item."""
-    counted = grams.join(gram_counts(docs, grams), "gram", "left")
-    least = F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "place", "gram")).alias("least")
-    chosen = counted.groupBy("item_id", F.floor(F.col("place") / STRIDE).alias("_block")).agg(least)
-    return chosen.select("item_id", "least.place", "least.gram")
-
-
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     """(best score, end in b) of a local alignment of two word sequences."""
     at = np.arange(1, len(b) + 1)
@@ -118,8 +80,8 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _score(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> tuple[float, int, int]:
-    """(score, first word, word after the last) of the best place of an item in a text."""
+def _score(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]], least: float) -> tuple[float, int, int]:
+    """(score, first word, word after the last) of the best place of an item in a text, if one has at least ``least``."""
     m = len(item)
     slack = m // 2 + 8
     lows = sorted({p - q for p, q in hits})
@@ -132,6 +94,8 @@ def _score(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]]) -> t
     best = (0.0, 0, 0)
     for a, b in spans:
         part = text[a : min(b, len(text))]
+        if np.isin(item, part).sum() / m < least:  # each word scores MATCH at most, and only if the part has it
+            continue
         score, end = align(item, part)
         if score / (MATCH * m) > best[0]:
             _, back = align(item[::-1], part[:end][::-1])
@@ -147,8 +111,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
         items.select(F.col("item_id").cast("bigint").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
         .filter("item_id is not null").groupBy("item_id").agg(F.array_join(F.sort_array(F.collect_set("text")), " ").alias("text"))
     )
-    grams = materialize(item_grams(items), "item-grams")
-    chosen = materialize(seeds(docs, grams), "seeds")
+    chosen = materialize(item_grams(items), "seeds")
     shared = shared_filter(chosen, "gram")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,7 +156,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
                 for link in row["items"]:
                     own = np.frombuffer(link["item"].encode(), np.uint8)
                     _, item = _hashes(own, np.array([0, len(own)]))
-                    value, a, b = _score(text, item, [(h["at"], h["place"]) for h in link["hits"]])
+                    value, a, b = _score(text, item, [(h["at"], h["place"]) for h in link["hits"]], least)
                     if value >= least:
                         passage = raw[words.starts[a] : words.ends[b - 1]].tobytes().decode("utf-8", "replace")
                         out.append((row["_k1"], row["_k2"], row["doc_id"], link["item_id"], value, a, b, passage))

@@ -72,6 +72,36 @@ def test_exact_and_edited_items_are_found_and_nothing_else(leaks):
     assert {r.doc_id for r in decontamination.clean(docs, items).collect()} == set(range(160)) - set(want)
 
 
+def test_items_edited_in_every_phase(spark):
+    """Wherever an edited copy keeps one run of four words and half of the score, it is found, exact copies around or not."""
+    rng = random.Random(14)
+    items = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate((40, 40, 15, 15))}
+    docs, want = [], set()
+
+    def add(item, gone):
+        words = [f"d{len(docs)}w{k}" if k in gone else w for k, w in enumerate(items[item])]
+        kept = any(not gone & set(range(a, a + 4)) for a in range(len(words) - 3))
+        if kept and plain_align(items[item], words) >= len(words):
+            want.add((len(docs), item))
+        docs.append((len(docs), " ".join([f"d{len(docs)}a{k}" for k in range(9)] + words + [f"d{len(docs)}z{k}" for k in range(9)])))
+
+    for item in (0, 1):
+        for step in (5, 6):
+            for phase in range(step):
+                add(item, set(range(phase, 40, step)))
+    for item in (2, 3):
+        for n in (1, 2, 3):
+            for gone in rng.sample(list(itertools.combinations(range(15), n)), 12):
+                add(item, set(gone))
+    for item in (1, 3):  # these leaked unchanged as well
+        for _ in range(5):
+            add(item, set())
+    assert sum(item < 2 for _, item in want) == 2 * 11 + 5
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, rows).collect()} == want
+
+
 def test_items_against_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (2, None), (None, "a b c d e"), (3, "")],
                                   "item_id bigint, text string")

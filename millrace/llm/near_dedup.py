@@ -2,8 +2,11 @@
 
 A text is a weighted set of its shingles (``WORDS`` words in a row; a shorter text is one shingle).
 The weight is the shingle's count times ``1 + ln(N / df) / ln(N + 1)``, between the
-count and twice the count. Document frequencies are counted over all documents, in ``CELLS``
-hashed cells as feature hashing does, which bounds the table that goes to the executors.
+count and twice the count. Document frequencies are counted over all documents. Similarities take
+them exactly, for each 64-bit shingle: the shingles of texts that share a bucket are counted in all
+documents, packed by hash, and only those of two documents or more are sent back. The bands, which
+only propose pairs, take them from ``CELLS`` hashed cells, less what a cell gathers on average from
+other shingles, which bounds the table that goes to the executors.
 
 ``BANDS`` * ``ROWS`` weighted samples are banded; texts that agree in a band share a bucket. Two
 texts of weighted Jaccard similarity 0.8 miss all bands with probability 0.0002.
@@ -32,11 +35,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, whole_row, word_hashes
-from millrace.llm.bloom import shared_filter
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, text_bytes, whole_row, word_hashes
+from millrace.llm.bloom import Filter, shared_filter
 from millrace.llm.components import components
 from millrace.llm.settings import tuned
 from millrace.operators.relational import one_per_key
@@ -48,6 +52,9 @@ CELLS = 1 << 20
 PIVOTS = 4
 MINOR_BLOCK, MAJOR_BLOCK = 64, 1024
 
+SHARE = 32 << 20  # bytes of text whose shingles are counted in one task
+BODY = 8 << 20
+
 _SLICES = 64
 _DRAWS = 1 << 16
 
@@ -78,8 +85,12 @@ def _cell(grams: np.ndarray) -> np.ndarray:
     return (grams >> U64(64 - 20)).astype(np.int64)
 
 
-def cell_weights(docs: DataFrame) -> np.ndarray:
-    """The inverse document frequency of each cell: one bounded table, counted over all documents."""
+def _weight(df: np.ndarray, texts: int) -> np.ndarray:
+    return 1 + np.log(texts / df) / math.log(texts + 1)
+
+
+def _cell_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """(documents of each cell, all documents): one bounded table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, texts = np.zeros(CELLS, np.int32), 0
@@ -103,13 +114,23 @@ def cell_weights(docs: DataFrame) -> np.ndarray:
 
     schema = "slice bigint, texts bigint, cells binary"
     rows = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
-    counts = np.ones(CELLS, np.int64)
+    counts = np.zeros(CELLS, np.int64)
     texts = 1
     for row in rows:
         texts = row.texts
         at = row.slice * (CELLS // _SLICES)
-        counts[at : at + CELLS // _SLICES] = np.maximum(np.frombuffer(row.cells, np.int64), 1)
-    return (1 + np.log(texts / np.minimum(counts, texts)) / math.log(texts + 1)).astype(np.float32)
+        counts[at : at + CELLS // _SLICES] = np.frombuffer(row.cells, np.int64)
+    return counts, texts
+
+
+def _cell_weights(counts: np.ndarray, texts: int) -> np.ndarray:
+    own = counts - (counts.sum() - counts) / (CELLS - 1)  # less the mean of the others
+    return _weight(own.clip(1, texts), texts).astype(np.float32)
+
+
+def cell_weights(docs: DataFrame) -> np.ndarray:
+    """About the inverse document frequency of each cell's shingles, counted over all documents; the bands use it."""
+    return _cell_weights(*_cell_counts(docs))
 
 
 class Sampler:
@@ -173,8 +194,33 @@ def _bands(docs: DataFrame, idf) -> DataFrame:
         sign, "bucket bigint, node bigint").distinct()
 
 
-def _vectors(docs: DataFrame, nodes: DataFrame, idf) -> DataFrame:
-    """(node, vector): shingles and weights of the texts of ``nodes``, one row each."""
+def _press(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(x.tobytes())
+
+
+def _plain(raw: bytes, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
+
+
+_SENT = "bucket int, body bigint, grams binary, n binary"
+
+
+def _sent(grams: np.ndarray, n: np.ndarray, buckets: int, body: int) -> pa.RecordBatch:
+    """Sorted distinct shingles and a number for each, one row for each bucket; bodies ask, counts have -1."""
+    bucket = (grams % U64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    marks = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    used = np.flatnonzero(np.diff(marks))
+    parts = [order[marks[b] : marks[b + 1]] for b in used.tolist()]
+    return pa.record_batch(
+        [pa.array(used.astype(np.int32)), pa.array([body] * len(used), pa.int64()),
+         pa.array([_press(np.diff(grams[x], prepend=U64(0))) for x in parts], pa.binary()),
+         pa.array([_press(n[x].astype(np.int32)) for x in parts], pa.binary())],
+        ["bucket", "body", "grams", "n"])
+
+
+def _bodies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(body, nodes, marks, grams, counts, size): shingles of the texts of ``nodes``, many texts in a row."""
     wanted = shared_filter(nodes, "node")
 
     def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,17 +228,129 @@ def _vectors(docs: DataFrame, nodes: DataFrame, idf) -> DataFrame:
             yield batch.take(pa.array(wanted.value.hits(batch.column("node").to_numpy().view(U64))))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, n, size = TaskContext.get().partitionId() << 32, 0, 0
+        parts: list[tuple] = []
+
+        def out() -> pa.RecordBatch:
+            own, lengths, grams, counts = (np.concatenate(x) for x in zip(*parts))
+            return pa.record_batch([pa.array([base + n]), *(pa.array([_press(x)], pa.binary()) for x in (own, lengths, grams, counts)),
+                                    pa.array([len(grams)])], ["body", "nodes", "lengths", "grams", "counts", "size"])
+
         for rows, data, offsets in blocks(batches, "text"):
             text, grams, counts = shingles(data, offsets)
-            weights = (counts * idf.value[_cell(grams)]).astype(np.float32)
-            marks = np.searchsorted(text, np.arange(len(offsets)))
-            out = [grams[a:b].tobytes() + weights[a:b].tobytes() for a, b in zip(marks[:-1].tolist(), marks[1:].tolist())]
-            yield pa.record_batch([rows.column("node"), pa.array(out, pa.binary())], ["node", "vector"])
+            parts.append((rows.column("node").to_numpy(), np.bincount(text, minlength=len(offsets) - 1).astype(np.int64),
+                          grams, counts.astype(np.int32)))
+            size += len(data)
+            if size > BODY:
+                yield out()
+                parts, n, size = [], n + 1, 0
+        if parts:
+            yield out()
 
     texts = docs.select(_text_hash().alias("node"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(thin, "node bigint, text string")
     # Copies are put together in the tasks before they are shuffled.
     return texts.groupBy("node").agg(F.min("text").alias("text")).join(nodes, "node", "left_semi").mapInArrow(
-        build, "node bigint, vector binary")
+        build, "body bigint, nodes binary, lengths binary, grams binary, counts binary, size bigint")
+
+
+def _gram_filter(bodies: DataFrame):
+    """A broadcast Bloom filter of the shingles of all bodies, merged by the executors in slices."""
+    members = bodies.agg(F.sum("size").alias("n")).first().n or 0
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = Filter(members)
+        for batch in batches:
+            for raw in batch.column("grams").to_pylist():
+                part.add(np.unique(_plain(raw, U64)))
+        yield pa.record_batch([pa.array(np.arange(_SLICES)), pa.array([_press(x) for x in np.split(part.bytes, _SLICES)], pa.binary())],
+                              ["slice", "bits"])
+
+    def merge(table: pa.Table) -> pa.Table:
+        whole = np.bitwise_or.reduce([_plain(x, np.uint8) for x in table.column("bits").to_pylist()])
+        return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
+
+    schema = "slice bigint, bits binary"
+    whole = Filter(members)
+    step = len(whole.bytes) // _SLICES
+    for row in bodies.select("grams").mapInArrow(fill, schema).groupBy("slice").applyInArrow(merge, schema).collect():
+        whole.bytes[row.slice * step : (row.slice + 1) * step] = np.frombuffer(row.bits, np.uint8)
+    return bodies.sparkSession.sparkContext.broadcast(whole)
+
+
+def _vectors(docs: DataFrame, nodes: DataFrame, texts: int) -> DataFrame:
+    """(node, vector): shingles and weights of the texts of ``nodes``, one row each, by exact document frequencies."""
+    bodies = materialize(_bodies(docs, nodes), "bodies")
+    wanted = _gram_filter(bodies)
+    buckets = max(1, math.ceil(text_bytes(docs) / SHARE))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: list[np.ndarray] = []
+        size = 0
+        for _, data, offsets in blocks(batches, "text"):
+            _, grams, _ = shingles(data, offsets)
+            seen.append(grams[wanted.value.hits(grams)])
+            size += len(seen[-1])
+            if size > 1 << 21:
+                yield _sent(*np.unique(np.concatenate(seen), return_counts=True), buckets, -1)
+                seen, size = [], 0
+        if size:
+            yield _sent(*np.unique(np.concatenate(seen), return_counts=True), buckets, -1)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body, raw in zip(batch.column("body").to_pylist(), batch.column("grams").to_pylist()):
+                grams = np.unique(_plain(raw, U64))
+                yield _sent(grams, np.zeros(len(grams), np.int32), buckets, body)
+
+    def answer(table: pa.Table) -> pa.Table:
+        body = table.column("body").to_numpy()
+        raw, numbers = table.column("grams").to_pylist(), table.column("n").to_pylist()
+        known = np.flatnonzero(body < 0).tolist()
+        out = []
+        if known:
+            grams, place = np.unique(np.concatenate([np.cumsum(_plain(raw[i], U64)) for i in known]), return_inverse=True)
+            df = np.bincount(place, np.concatenate([_plain(numbers[i], np.int32) for i in known])).astype(np.int64)
+            often = df > 1  # a shingle without an answer is in one document
+            grams, df = grams[often], df[often]
+            for i in np.flatnonzero(body >= 0).tolist():
+                own = np.cumsum(_plain(raw[i], U64))
+                at = np.searchsorted(grams, own)
+                at[at == len(grams)] = 0
+                good = grams[at] == own if len(grams) else np.zeros(len(own), bool)
+                if good.any():
+                    out.append((int(body[i]), _press(np.diff(own[good], prepend=U64(0))), _press(df[at[good]])))
+        columns = list(zip(*out)) if out else [[]] * 3
+        return pa.table([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], ["body", "grams", "df"])
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                grams, counts = _plain(row["grams"], U64), _plain(row["counts"], np.int32)
+                df = np.ones(len(grams), np.int64)
+                answers = row["answers"] or []
+                if answers:
+                    known = np.concatenate([np.cumsum(_plain(x["grams"], U64)) for x in answers])
+                    number = np.concatenate([_plain(x["df"], np.int64) for x in answers])
+                    order = np.argsort(known)
+                    known, number = known[order], number[order]
+                    at = np.searchsorted(known, grams).clip(max=len(known) - 1)
+                    same = known[at] == grams
+                    df[same] = number[at[same]]
+                weights = (counts * _weight(df, texts)).astype(np.float32)
+                marks = np.concatenate([[0], np.cumsum(_plain(row["lengths"], np.int64))]).tolist()
+                own = _plain(row["nodes"], np.int64)
+                for low in range(0, len(own), 1024):
+                    some = list(zip(marks[low:], marks[low + 1 : low + 1025]))
+                    yield pa.record_batch(
+                        [pa.array(own[low : low + 1024]), pa.array([grams[a:b].tobytes() + weights[a:b].tobytes() for a, b in some], pa.binary())],
+                        ["node", "vector"])
+
+    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, _SENT)
+    asked = bodies.select("body", "grams").mapInArrow(ask, _SENT)
+    answers = counted.unionAll(asked).groupBy("bucket").applyInArrow(answer, "body bigint, grams binary, df binary")
+    per_body = answers.groupBy("body").agg(F.collect_list(F.struct("grams", "df")).alias("answers"))
+    return bodies.join(per_body, "body", "left").select("nodes", "lengths", "grams", "counts", "answers").mapInArrow(
+        weigh, "node bigint, vector binary")
 
 
 def _vector(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -275,7 +433,8 @@ def _rest(buckets: DataFrame, roots: DataFrame, vectors: DataFrame, least: float
 def roots(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """(node, root) for the hashes of texts that are linked to a different text."""
     spark = tuned(docs.sparkSession)
-    idf = spark.sparkContext.broadcast(cell_weights(docs.select(F.coalesce("text", F.lit("")).alias("text"))))
+    counts, texts = _cell_counts(docs.select(F.coalesce("text", F.lit("")).alias("text")))
+    idf = spark.sparkContext.broadcast(_cell_weights(counts, texts))
     banded = _bands(docs, idf)
     sizes = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = materialize(banded.join(sizes, "bucket"), "buckets")
@@ -287,7 +446,7 @@ def roots(docs: DataFrame, least: float = LEAST) -> DataFrame:
         shared.join(pivots, "bucket").filter("node != pivot")
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     )
-    vectors = materialize(_vectors(docs, shared.select("node").distinct(), idf), "vectors")
+    vectors = materialize(_vectors(docs, shared.select("node").distinct(), texts), "vectors")
     links = materialize(_verified(pairs, vectors, least), "links")
     found = components(links)
     more = materialize(_rest(shared, found, vectors, least), "more-links")

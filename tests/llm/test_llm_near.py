@@ -121,6 +121,41 @@ def test_document_frequencies_cover_all_documents(spark):
     assert np.allclose(weights, [1.0, 1 + np.log(2) / np.log(101)])
 
 
+@pytest.mark.parametrize("cells", ["own", "one"])
+def test_weights_by_exact_document_frequencies(spark, monkeypatch, cells):
+    """Frequencies counted here by the words themselves; shingles whose hashes share a cell do not count for one another."""
+    if cells == "one":
+        monkeypatch.setattr(near_dedup, "_cell", lambda grams: np.zeros(len(grams), np.int64))
+    monkeypatch.setattr(near_dedup, "SHARE", 4000)  # several buckets
+    monkeypatch.setattr(near_dedup, "BODY", 2000)
+    rng = random.Random(21)
+    texts = [" ".join(f"{rng.choice('abc')}{rng.randrange(4)}" for _ in range(rng.randint(5, 60))) for _ in range(150)]
+    texts += [texts[7], texts[7]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+
+    def runs(text):
+        words = text.split()
+        return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+    df = collections.Counter(run for text in texts for run in runs(text))
+    nodes = docs.filter("doc_id % 3 = 1").select(near_dedup._text_hash().alias("node")).distinct()
+    got = {r.node: r.vector for r in near_dedup._vectors(docs, nodes, len(texts)).collect()}
+    hashes = {r.doc_id: r.node for r in docs.select("doc_id", near_dedup._text_hash().alias("node")).collect()}
+    assert set(got) == {hashes[i] for i in range(len(texts)) if i % 3 == 1}
+    for i in range(1, len(texts), 3):
+        want = sorted(n * (1 + np.log(len(texts) / df[run]) / np.log(len(texts) + 1)) for run, n in runs(texts[i]).items())
+        assert np.allclose(sorted(near_dedup._vector(got[hashes[i]])[1]), want)
+
+
+def test_a_shared_cell_links_nothing(spark, monkeypatch):
+    """Texts of one common passage and five words of their own: 0.82 alike by plain counts, 0.70 by weights."""
+    monkeypatch.setattr(near_dedup, "_cell", lambda grams: np.zeros(len(grams), np.int64))
+    common = " ".join(f"c{i}" for i in range(50))
+    texts = [common + "".join(f" u{d}x{i}" for i in range(5)) for d in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {(r.doc_id, r.class_id) for r in near_dedup.classes(docs).collect()} == {(d, d) for d in range(60)}
+
+
 def test_odd_rows(odd, none):
     got = near_dedup.classes(odd).collect()
     assert len(got) == 13

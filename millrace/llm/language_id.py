@@ -11,6 +11,11 @@ The field is fitted on at most ``PER_LANGUAGE`` labelled texts of up to ``TRAIN_
 for each language, chosen by a hash of the id. Pieces of different texts are strung together,
 so that it sees languages change. Prediction reads whole texts and nothing but the text.
 
+The score only weighs the learned languages against each other. Whether a text is in any of them
+(``accepted``) is told by the share of its three-byte grams that the labelled texts hold. A language's
+limit is ``KNOWN`` times what all but one in a hundred of its pieces of ``PIECE`` words reach, when
+the grams come from the other half of the labelled texts.
+
 Defined results: a null text, and one without a letter, is ``und`` with score 0, as is every
 text when nothing is labelled; repeated rows give repeated results; columns other than
 ``doc_id``, ``text`` and (for the fit) ``lang`` are not read.
@@ -36,7 +41,8 @@ KINDS = 7
 LEXICON = 1 << 18
 ROUNDS = 12
 UNKNOWN = "und"
-ACCEPTED = 0.3  # a short clean text may be this unsure; no language of a text without one comes near it
+ACCEPTED = 0.3  # a short clean text may be this unsure
+KNOWN, PIECE = 0.6, 4
 
 
 def held_out() -> Column:
@@ -66,6 +72,40 @@ def grams(words: Words) -> np.ndarray:
     return (KINDS - 1) * SLOTS + ((code * U64(0x9E3779B97F4A7C15)) >> U64(48)).astype(np.int64)
 
 
+def _codes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The three bytes around every byte of a word as a number, and the places where the words begin."""
+    d = np.concatenate([[0], words.data, [0]]).astype(np.int32)
+    length = words.ends - words.starts
+    at = np.repeat(words.starts, length) + ranges(length)
+    return (d[:-2] | d[1:-1] << 8 | d[2:] << 16)[at], np.concatenate([[0], np.cumsum(length)])
+
+
+def known_share(known: np.ndarray, words: Words, first: np.ndarray) -> np.ndarray:
+    """Share of known grams among those of words ``first[i]`` to ``first[i + 1]``."""
+    codes, begin = _codes(words)
+    total = np.concatenate([[0], np.cumsum(known[codes])])[begin]
+    return (total[first[1:]] - total[first[:-1]]) / np.maximum(begin[first[1:]] - begin[first[:-1]], 1)
+
+
+def _evidence(words: Words, label: np.ndarray, languages: int) -> tuple[np.ndarray, np.ndarray]:
+    """(grams of the labelled texts, least share of them for a text of each language)."""
+    codes, begin = _codes(words)
+    size = np.diff(begin)
+    half = np.repeat(np.arange(len(words.first) - 1) % 2, np.diff(words.first))  # texts are sorted, so this splits each language
+    first = np.unique(np.concatenate([words.first, *(np.arange(a, b, PIECE) for a, b in zip(words.first[:-1], words.first[1:]))]))
+    first = first.astype(np.int64)
+    known, shares = np.zeros(1 << 24, bool), np.zeros(len(first) - 1)
+    for part in (0, 1):
+        own = np.zeros(1 << 24, bool)
+        own[codes[np.repeat(half == part, size)]] = True
+        known |= own
+        other = half[first[:-1]] != part
+        shares[other] = known_share(own, words, first)[other]
+    of = label[first[:-1]]
+    least = [KNOWN * np.quantile(shares[of == k], 0.01) if (of == k).any() else 0.0 for k in range(languages)]
+    return known, np.array(least)
+
+
 @dataclass
 class LanguageModel:
     languages: list[str]
@@ -73,6 +113,8 @@ class LanguageModel:
     lexicon: np.ndarray  # hash of the word in a lexicon slot
     entries: np.ndarray  # lexicon slots x languages
     transitions: np.ndarray
+    known: np.ndarray  # whether the labelled texts hold these three bytes
+    least: np.ndarray  # share of known grams that a text of each language has at least
 
     def scores(self, words: Words) -> np.ndarray:
         hashes, slots = affixes(words)
@@ -145,7 +187,7 @@ def fit(sample: list[tuple[str, str]], seed: int = 11) -> LanguageModel | None:
     learned, transitions = crf.fit(features, owner, types[order], label[order], first, len(languages), len(used), ROUNDS)
     weights = np.zeros((base + LEXICON, len(languages)), np.float32)
     weights[used] = learned
-    return LanguageModel(languages, weights[:base], lexicon, weights[base:], transitions)
+    return LanguageModel(languages, weights[:base], lexicon, weights[base:], transitions, *_evidence(words, label, len(languages)))
 
 
 def fit_on(docs: DataFrame, allowed: Column) -> LanguageModel | None:
@@ -198,12 +240,21 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, least: float = ACCEPTED) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text is in a learned language by at least ``least`` of its words."""
+    """The rows of ``docs``, with all their columns, whose text is in a learned language by at least ``least`` of its words.
+
+    A text with fewer known grams than its language's limit is in none of them.
+    """
     shared = tuned(docs.sparkSession).sparkContext.broadcast(fit_on(docs, ~held_out()))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, "text"):
-            names, score, _, _ = _texts(shared.value, data, offsets)
-            yield rows.filter(pa.array([n != UNKNOWN and s >= least for n, s in zip(names, score)], pa.bool_()))
+            field = shared.value
+            names, score, _, _ = _texts(field, data, offsets)
+            good = np.array([n != UNKNOWN and s >= least for n, s in zip(names, score)], bool)
+            if good.any():
+                words = letter_words(data, offsets)
+                limit = dict(zip(field.languages, field.least))
+                good &= known_share(field.known, words, words.first) >= np.array([limit.get(n, 0.0) for n in names])
+            yield rows.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(apply, docs.schema)

@@ -1,6 +1,7 @@
 """The conditional random field against enumeration, and languages of held-out texts."""
 
 import itertools
+import zlib
 
 import numpy as np
 import pytest
@@ -75,6 +76,24 @@ def test_code_switching(docs):
     assert 0.3 < share[0].max() < 0.7
 
 
+def test_letters_in_no_learned_language_go(spark, docs):
+    """Random letters and languages never learned go; held-out texts, their first four words and half-foreign texts stay."""
+    rng = np.random.default_rng(6)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    strange = [" ".join("".join(rng.choice(letters, rng.integers(2, 10))) for _ in range(n)) for n in (8, 20, 60, 200) for _ in range(5)]
+    strange += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan Heille on annettu järki ja omatunto",
+                "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw",
+                "Все люди рождаются свободными и равными в своем достоинстве и правах"]
+    held = [r.text for r in docs.filter(language_id.held_out()).orderBy("doc_id").collect()]
+    clean = held + [" ".join(t.split()[:4]) for t in held] + [" ".join(t.split()[:40]) + " " + strange[-2] for t in held[:10]]
+    ids = [i for i in range(10000, 20000) if zlib.crc32(str(i).encode()) % 3 == 1]  # no fit sees these
+    rows = list(zip(ids, strange + clean))
+    more = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr("doc_id", "text", "cast(null as string) as lang")
+    kept = language_id.accepted(docs.select("doc_id", "text", "lang").unionAll(more))
+    got = {r.doc_id for r in kept.filter("doc_id >= 10000").collect()}
+    assert got == {i for i, _ in rows[len(strange):]}
+
+
 def test_odd_rows(odd, none):
     got = {(r.doc_id, r.lang_pred) for r in language_id.identify(odd).collect()}
     assert {(4, "und"), (5, "und"), (6, "und"), (7, "und")} <= got

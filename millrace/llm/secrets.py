@@ -183,6 +183,7 @@ def _added(model, data: np.ndarray, offsets: np.ndarray) -> list[list[tuple[int,
     found = tokens(data, offsets)
     weights, transitions = model
     scores = sum((weights[found.slots[:, k]] for k in range(found.slots.shape[1])), np.zeros((len(found.starts), 3)))
+    scores[found.first[:-1][np.diff(found.first) > 0], 2] = -1e9  # nothing is open where a text begins
     tags = crf.viterbi(scores, found.first, transitions)
     for i in np.flatnonzero(tags == 1).tolist():
         text = int(np.searchsorted(found.first, i, "right")) - 1

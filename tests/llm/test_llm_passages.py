@@ -179,6 +179,16 @@ def test_patterns_stay_and_the_field_adds(files):
     assert all(re.fullmatch("[0-9a-f]{22}", text[a:b]) for text, [(a, _, b)] in zip(new, found))
 
 
+def test_a_secret_at_the_start_of_a_text_is_opened():
+    """A field that would rather go on with a secret than open one."""
+    weights, transitions = np.zeros((secrets._STARTS[-1], 3)), np.zeros((3, 3))
+    weights[:, 1:] = 0.5, 1
+    transitions[0, 2] = -1e9
+    texts = ["alpha beta", "", "gamma"]
+    data, offsets = secrets.text_arrays(pa.array(texts))
+    assert secrets.spans_of(texts, (weights, transitions), data, offsets) == [[(0, 3, 10)], [], [(0, 3, 5)]]
+
+
 def test_redaction(files):
     docs, frame = files
     for r in secrets.redacted(frame).collect():

@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontamination, language_id, licenses, near_dedup, order_minhash, secrets, shards, substring_dedup, suffix_dedup
+from millrace.llm import (
+    bpe,
+    decontamination,
+    divergence,
+    language_id,
+    licenses,
+    mixture,
+    near_dedup,
+    order_minhash,
+    secrets,
+    shards,
+    substring_dedup,
+    suffix_dedup,
+    whitening,
+)
 from millrace.llm.settings import tuned
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +104,39 @@ def op9_bpe(spark, folder):
 @query("op10_near_dedup")
 def op10_near_dedup(spark, folder):
     return near_dedup.classes(table(spark, folder, "documents"))
+
+
+@query("op11_whitening")
+def op11_whitening(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op12_mixture")
+def op12_mixture(spark, folder):
+    return mixture.plan(table(spark, folder, "documents"))
+
+
+@query(
+    "op13_divergence",
+    r"""WITH docs AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+            words AS (SELECT r, lang, source, unnest(regexp_extract_all(
+                        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+            kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+            langs AS (SELECT lang, count(*)::HUGEINT AS v, sum(n)::HUGEINT AS whole FROM kept GROUP BY lang),
+            groups AS (SELECT DISTINCT lang, source FROM docs),
+            counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+            masses AS (SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS own FROM groups LEFT JOIN counts USING (lang, source) GROUP BY lang, source),
+            shares AS (SELECT lang, source, term, k.n AS total, coalesce(c.n, 0) AS n,
+                              1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (own + 2 * v) AS p, 1 + 1000000000::HUGEINT * (k.n + 2) // (whole + 2 * v) AS q
+                       FROM masses JOIN langs USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+            pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+                      FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+            everything AS (
+              SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value
+              FROM (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source) LEFT JOIN pairs USING (lang, source, item)
+              UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q),
+            ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM everything)
+       SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked WHERE part = 'pair' OR rank <= 10""",
+)
+def op13_divergence(spark, folder):
+    return divergence.audit(table(spark, folder, "documents"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,3 +38,15 @@ def has_keyword(text: Column, *keywords: str) -> Column:
     for condition in found[1:]:
         result = result | condition
     return result
+
+
+def place_among(value: Column, points: Sequence[float]) -> Column:
+    """Number of sorted ``points`` below a value, by a balanced search in plain comparisons."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(float(points[middle])), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(points))

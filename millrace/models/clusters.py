@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -41,16 +43,107 @@ def cluster_sizes(assigned: DataFrame, cluster: str = "prediction") -> DataFrame
     return assigned.groupBy(cluster).count()
 
 
+SAMPLE = 4096  # distinct points at most that starting centres are chosen from
+
+
+def _starts(points: DataFrame, point: str, ks: Sequence[int], seed: int) -> dict[int, np.ndarray]:
+    """Starting centres for each k, far apart, from one seeded point of each of ``SAMPLE`` hash classes.
+
+    The classes are aggregated, so copies count once and the sample is the same whatever the partitions.
+    """
+    h = F.xxhash64(F.lit(seed), point)
+    sample = points.groupBy(F.pmod(h, F.lit(SAMPLE)).alias("_class")).agg(F.min_by(point, h).alias("point")).orderBy("_class").collect()
+    if not sample:
+        return {}
+    rows = np.array([r["point"] for r in sample])
+    chance = np.random.default_rng(seed)
+    chosen = [int(chance.integers(len(rows)))]
+    apart = ((rows - rows[chosen[0]]) ** 2).sum(axis=1)
+    while len(chosen) < min(max(ks), len(rows)):
+        share = apart / apart.sum() if apart.sum() else np.full(len(rows), 1 / len(rows))
+        chosen.append(int(chance.choice(len(rows), p=share)))
+        apart = np.minimum(apart, ((rows - rows[chosen[-1]]) ** 2).sum(axis=1))
+    return {k: rows[chosen[:k]] for k in ks}
+
+
+def lloyd_sums(points: DataFrame, point: str, centres: Mapping[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """For each k, of its given centres: rows, sums of the points nearest to each (the first of equals), and the cost. One scan for all k.
+
+    Tasks send a sum for each k, centre and dimension, whatever their rows.
+    """
+    models = {int(k): np.array(c, float) for k, c in centres.items()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {k: np.zeros((len(c), c.shape[1] + 2)) for k, c in models.items()}  # then rows and cost
+        for batch in batches:
+            column = batch.column(0).drop_null()
+            x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+            if not len(x):
+                continue
+            for k, c in models.items():
+                apart = np.stack([((x - one) ** 2).sum(axis=1) for one in c], axis=1)
+                own = apart.argmin(axis=1)
+                for i in range(x.shape[1]):
+                    sums[k][:, i] += np.bincount(own, x[:, i], len(c))
+                sums[k][:, -2] += np.bincount(own, minlength=len(c))
+                sums[k][:, -1] += np.bincount(own, apart[np.arange(len(x)), own], len(c))
+        for k, found in sums.items():
+            centre, at = np.indices(found.shape)
+            yield pa.record_batch(
+                [pa.array(np.full(found.size, k)), pa.array(centre.ravel()), pa.array(at.ravel()), pa.array(found.ravel())], ["k", "centre", "at", "value"]
+            )
+
+    parts = points.select(F.col(point).cast("array<double>")).mapInArrow(run, "k bigint, centre bigint, at bigint, value double")
+    out = {k: np.zeros((len(c), c.shape[1] + 2)) for k, c in models.items()}
+    for r in parts.groupBy("k", "centre", "at").agg(F.sum("value").alias("value")).collect():  # bounded by the centres
+        out[r["k"]][r["centre"], r["at"]] = r["value"]
+    return {k: (found[:, -2], found[:, :-2], float(found[:, -1].sum())) for k, found in out.items()}
+
+
+def lloyd_step(found: tuple[np.ndarray, np.ndarray, float], centres: np.ndarray) -> np.ndarray:
+    """The means of the points of each centre; one without points stays."""
+    n, sums, _ = found
+    return np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], centres)
+
+
+def sweep(points: DataFrame, point: str, ks: Sequence[int], *, seed: int, rounds: int = 20, tolerance: float = 1e-4) -> dict[int, tuple[np.ndarray, float]]:
+    """Centres and cost for each k, all fitted side by side: one scan a round serves every k that still moves.
+
+    A k is done when no centre moves by more than ``tolerance``, or after ``rounds``; its cost is that of its last centres.
+    """
+    centres = _starts(points, point, ks, seed)
+    open_, costs = dict(centres), {}
+    for i in range(rounds + 1):
+        if not open_:
+            break
+        for k, found in lloyd_sums(points, point, open_).items():
+            moved = lloyd_step(found, centres[k])
+            costs[k] = found[2]
+            if i == rounds or np.sqrt(((moved - centres[k]) ** 2).sum(axis=1)).max() <= tolerance:
+                del open_[k]
+            else:
+                centres[k] = open_[k] = moved
+    return {k: (centres[k], costs[k]) for k in centres}
+
+
 def kmeans_sweep(df: DataFrame, features: str, ks: Sequence[int], *, seed: int) -> DataFrame:
-    """Training cost of each k: rows (k, cost). The features are kept for all fits."""
-    data = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    """Cost of a fit for each k: rows (k, cost). The points are kept for the rounds."""
+    points = df.select(vector_to_array(F.col(features)).alias("point")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = [(int(k), float(fit_kmeans(data, features, k, seed=seed).summary.trainingCost)) for k in ks]
+        rows = [(int(k), cost) for k, (_, cost) in sweep(points, "point", list(ks), seed=seed).items()]
     finally:
-        data.unpersist()
+        points.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, cost double")
 
 
+def sweep_step(points: DataFrame, point: str, centres: Mapping[int, np.ndarray]) -> DataFrame:
+    """(k, cost, next_cost): the cost of given centres for each k, and of the means of their clusters. Two scans for all k."""
+    first = lloyd_sums(points, point, centres)
+    moved = {k: lloyd_step(found, np.asarray(centres[k], float)) for k, found in first.items()}
+    second = lloyd_sums(points, point, moved)
+    return points.sparkSession.createDataFrame([(k, first[k][2], second[k][2]) for k in first], "k int, cost double, next_cost double")
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     """Squared Euclidean distance of two number arrays."""
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, d: s + d)

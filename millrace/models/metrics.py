@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +26,22 @@ def rmse(df: DataFrame, label: str, prediction: str) -> DataFrame:
     return regression_metrics(df, label, prediction).select("rmse")
 
 
-def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Rows of each (label, prediction) pair."""
-    return df.groupBy(F.col(label).alias("label"), F.col(prediction).alias("prediction")).count()
+def confusion_matrix(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows of each (label, prediction) pair, for each value of ``by``."""
+    return df.groupBy(*by, F.col(label).alias("label"), F.col(prediction).alias("prediction")).count()
 
 
-def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    """One row: accuracy and weighted precision, recall and F1.
+def classification_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Accuracy and weighted precision, recall and F1: one row, or one for each value of ``by``.
 
-    Computed from the confusion table, whose size is the square of the number of classes.
+    Computed from the confusion table, whose size is the square of the number of classes. A row without a prediction is a miss.
     """
-    cells = confusion_matrix(df, label, prediction)
+    cells = confusion_matrix(df, label, prediction, by)
     hits = F.when(F.col("label") == F.col("prediction"), F.col("count")).otherwise(0)
-    by_label = cells.groupBy(F.col("label").alias("class")).agg(
+    by_label = cells.groupBy(*by, F.col("label").alias("class")).agg(
         F.sum("count").alias("n"), F.sum(hits).alias("hit")
     )
-    by_prediction = cells.groupBy(F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
+    by_prediction = cells.groupBy(*by, F.col("prediction").alias("class")).agg(F.sum("count").alias("predicted"))
     recall = F.col("hit") / F.col("n")
     precision = F.coalesce(F.try_divide(F.col("hit"), F.col("predicted")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
@@ -47,7 +49,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str) -> DataFr
     def weighted(value: Column) -> Column:
         return F.sum(value * F.col("n")) / F.sum("n")
 
-    return by_label.join(by_prediction, "class", "left").agg(
+    return by_label.join(by_prediction, [*by, "class"], "left").groupBy(*by).agg(
         (F.sum("hit") / F.sum("n")).alias("accuracy"),
         weighted(precision).alias("precision"),
         weighted(recall).alias("recall"),

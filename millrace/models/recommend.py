@@ -24,14 +24,20 @@ def ratings_table(df: DataFrame, user: Column, item: Column, rating: Column) ->
     )
 
 
+_INT = (-(1 << 31), (1 << 31) - 1)
+
+
 def with_int_ids(ratings: DataFrame) -> DataFrame:
     """Ids as MLlib's factorisation wants them: 32-bit ``user_id`` and ``item_id``.
 
-    Columns of up to 32 bits are used as they are; every other type is numbered on the
-    executors, so no two ids become one.
+    Columns of up to 32 bits are used as they are, and so are wider whole numbers whose least and largest, found in one
+    aggregate, fit; every other column is numbered on the executors, so no two ids become one.
     """
+    wide = [c for c in ("user", "item") if isinstance(ratings.schema[c].dataType, T.LongType)]
+    bounds = ratings.agg(*[f(c).alias(f"{name}_{c}") for c in wide for name, f in (("low", F.min), ("high", F.max))]).first() if wide else {}
     for column in ("user", "item"):
-        if isinstance(ratings.schema[column].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+        fits = column in wide and (bounds[f"low_{column}"] or 0) >= _INT[0] and (bounds[f"high_{column}"] or 0) <= _INT[1]
+        if fits or isinstance(ratings.schema[column].dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             ratings = ratings.withColumn(f"{column}_id", F.col(column).cast("int"))
         else:
             ratings = ratings.join(dense_ids(ratings, column, f"{column}_id"), column)

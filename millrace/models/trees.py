@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from operator import and_
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.models.linear import score
 from millrace.models.metrics import classification_metrics
 from millrace.operators.features import assemble
+from millrace.workspace import fresh_path, materialize
 
 
 def _fit(estimator, df: DataFrame, columns: Sequence[str], label: str):
@@ -48,33 +50,86 @@ def importances(df: DataFrame, model, columns: Sequence[str]) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, "feature string, importance double")
 
 
+def stored_nodes(model, spark: SparkSession, columns: Sequence[str]) -> DataFrame:
+    """The nodes of a fitted tree, forest or boosted model as a table, read from its stored form.
+
+    (tree, id, feature, threshold, gain, n, mean): ``n`` the weight of a node's rows in the fit, ``mean`` the share of class 1, or the
+    value of a regression tree; ``feature``, ``threshold`` and ``gain`` are null for leaves.
+    """
+    path = fresh_path(spark, "model")
+    model.write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    if "nodeData" in nodes.columns:  # an ensemble: a tree's number and its node
+        nodes = nodes.select(F.col("treeID").alias("tree"), "nodeData.*")
+    else:
+        nodes = nodes.withColumn("tree", F.lit(0))
+    split, stats = F.col("split"), F.col("impurityStats")
+    classes = getattr(model, "numClasses", 0) and not hasattr(model, "getMaxIter")  # a boosted model's trees are regressions
+    total = F.aggregate(stats, F.lit(0.0), lambda s, x: s + x)
+    inner = F.col("leftChild") >= 0
+    names = F.array(*map(F.lit, columns))
+    return nodes.select(
+        "tree", "id", F.when(inner, F.get(names, split["featureIndex"])).alias("feature"),
+        F.when(inner, F.get(split["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"), F.when(inner, F.col("gain")).alias("gain"),
+        (total if classes else F.get(stats, F.lit(0))).alias("n"), (F.get(stats, F.lit(1)) / (total if classes else F.get(stats, F.lit(0)))).alias("mean"),
+    )
+
+
+def side_by_side(fits: Mapping[str, Callable[[], object]]) -> dict[str, object]:
+    """Results of independent fits, started together: their jobs share the executors instead of waiting for each other."""
+    session = SparkSession.getActiveSession()
+
+    def run(fit: Callable[[], object]) -> object:
+        return fit()
+
+    with ThreadPoolExecutor(len(fits)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(session)(run) if session else run, fit) for name, fit in fits.items()}
+        return {name: future.result() for name, future in started.items()}
+
+
+def stored_predictions(test: DataFrame, models: Mapping[str, object], columns: Sequence[str], label: str) -> DataFrame:
+    """(label, prediction of each model) of all rows of ``test``, stored: assembled once, scored by all models in one scan.
+
+    A row with a missing feature has no prediction.
+    """
+    data = assemble(test.select(*columns, F.col(label).alias("label")), columns, invalid="keep")
+    complete = reduce(and_, [F.col(f"`{c}`").isNotNull() for c in columns])
+    for name, model in models.items():
+        named = model.copy({model.predictionCol: name, model.rawPredictionCol: "", model.probabilityCol: ""})
+        data = named.transform(data)
+    return materialize(data.select("label", *[F.when(complete, F.col(name)).alias(name) for name in models]), "predictions")
+
+
+def compare_predictions(predictions: DataFrame, models: Sequence[str], label: str = "label") -> DataFrame:
+    """(model, rows, unscored, accuracy, precision, recall, f1) from a table with a column of predictions for each model.
+
+    One aggregate by model, label and prediction over the table; a row without a prediction is a miss.
+    """
+    long = predictions.select(F.col(label).alias("label"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("model"), F.col(m).cast("double").alias("prediction")) for m in models
+    ])).alias("_m")).select("label", "_m.*")
+    counts = long.groupBy("model").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("prediction").isNull()).alias("unscored"))
+    return counts.join(classification_metrics(long, "label", "prediction", ["model"]), "model")
+
+
 def compare_models(
     train: DataFrame, test: DataFrame, columns: Sequence[str], label: str, *, seed: int,
     params: Mapping[str, dict] | None = None,
 ) -> DataFrame:
     """Tree, forest and GBT on one split: rows (model, accuracy, precision, recall, f1).
 
-    The training part is assembled and kept once for the three fits. Every row of ``test``
-    counts; one with a missing feature has no prediction and is a miss.
+    The training part is assembled and kept once, and the three fits run side by side. The predictions are
+    stored and the metrics counted from them. Every row of ``test`` counts; one with a missing feature has no
+    prediction and is a miss.
     """
     params = params or {}
     data = assemble(train.select(*columns, label), columns, invalid="skip").select("features", label)
     data.persist(StorageLevel.MEMORY_AND_DISK)
+    kinds = {"tree": DecisionTreeClassifier, "forest": RandomForestClassifier, "gbt": GBTClassifier}
     try:
-        fitted = {
-            "tree": DecisionTreeClassifier(labelCol=label, seed=seed, **params.get("tree", {})).fit(data),
-            "forest": RandomForestClassifier(labelCol=label, seed=seed, **params.get("forest", {})).fit(data),
-            "gbt": GBTClassifier(labelCol=label, seed=seed, **params.get("gbt", {})).fit(data),
-        }
+        fitted = side_by_side({
+            name: lambda kind=kind, own=params.get(name, {}): kind(labelCol=label, seed=seed, **own).fit(data) for name, kind in kinds.items()
+        })
     finally:
         data.unpersist()
-    held = test.select(*columns, label)
-    return reduce(
-        DataFrame.unionByName,
-        [
-            classification_metrics(score(held, model, columns), label, "prediction").select(
-                F.lit(name).alias("model"), "*"
-            )
-            for name, model in fitted.items()
-        ],
-    )
+    return compare_predictions(stored_predictions(test, fitted, columns, label), list(fitted)).drop("rows", "unscored")

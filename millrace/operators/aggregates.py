@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.ordering import exact_quantiles
+from millrace.operators.ordering import quantile_values
 
 _FUNCTIONS = {
     "sum": F.sum,
@@ -119,11 +119,14 @@ def profile_formatted(df: DataFrame, columns: Sequence[str], whole: Sequence[str
 
 
 def profile_quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Profile with exact quartiles, one row per column."""
-    quartiles = (
-        exact_quantiles(df, columns, (0.25, 0.5, 0.75))
-        .groupBy("column")
-        .agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(n)
-               for p, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))])
-    )
-    return profile(df, columns).join(quartiles, "column", "left")
+    """Profile with exact quartiles, one row per column: two scans, unless a column has many millions of rows."""
+    quartiles = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    found, row = quantile_values(df, columns, list(quartiles.values()), [f(F.col(c)).alias(f"{c}|{s}") for c in columns for s, f in _PROFILE.items()])
+    fields = profile(df, columns).schema.fields[1:]
+
+    def typed(value, kind: T.DataType):
+        return float(value) if value is not None and isinstance(kind, T.DoubleType) else value
+
+    rows = [(c, *[typed(row[f"{c}|{f.name}"], f.dataType) for f in fields], *[found[c, p] for p in quartiles.values()]) for c in columns]
+    schema = T.StructType([T.StructField("column", T.StringType()), *fields, *[T.StructField(q, T.DoubleType()) for q in quartiles]])
+    return df.sparkSession.createDataFrame(rows, schema)

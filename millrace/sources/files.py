@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.records import scan_records
+
 Schema = T.StructType | str
 
 
@@ -40,58 +41,25 @@ def scan_tsv(spark: SparkSession, path: str, names: Sequence[str], *, quote: str
 def scan_csv_skip(spark: SparkSession, path: str, skip: int, schema: Schema | None = None) -> DataFrame:
     """CSV whose files start with ``skip`` preamble lines and then a header line.
 
-    One scan of the lines: the tasks that hold the beginning of a file drop its first lines
-    and compare its header with that of the first file. Another header is an error, never
-    shifted values, and so is a quoted value that holds a line end, which lines cannot
-    carry. Empty lines are no rows. Without ``schema`` all columns are strings, named by the header.
+    Every file keeps its splits, also where quoted values hold line ends (see ``records``). The header of each file is
+    compared with that of the first; another one is an error, never shifted values. Empty lines are no
+    rows. Without ``schema`` all columns are strings, named by the header.
     """
-    head = [r["value"] for r in spark.read.text(path).take(skip + 1)]  # of the first file
+    head = [r["value"] for r in spark.read.text(path, lineSep="\n").take(skip + 1)]  # of the first file
     if len(head) <= skip:
         raise ValueError(f"no header after {skip} lines in {path}")
-    header = head[skip]
+    header = head[skip].rstrip("\r")
+    options = {"mode": "PERMISSIVE", "escape": '"', "multiLine": "true"}
     if schema is None:
         names = spark.createDataFrame([(header,)], "value string").select(
-            F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(header.count(",") + 1))).alias("r")
+            F.from_csv("value", ", ".join(f"c{i} STRING" for i in range(header.count(",") + 1)), options).alias("r")
         )
         fields = [v for v in names.first()["r"] if v is not None]
         schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in fields])
     ddl = schema if isinstance(schema, str) else ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields
     )
-
-    def below_header(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        seen, line = None, 0  # lines met so far in the beginning of the file ``seen``
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            values = batch.column("value")
-            first = np.flatnonzero(batch.column("block_start").to_numpy() == 0)
-            files_ = batch.column("file")
-            for i in first.tolist():
-                file = files_[i].as_py()
-                if file != seen:
-                    seen, line = file, 0
-                if line <= skip:
-                    keep[i] = False
-                    if line == skip and values[i].as_py().rstrip("\r") != header.rstrip("\r"):
-                        raise ValueError(f"the header of {file} is not {header!r}")
-                    line += 1
-            keep &= pc.not_equal(values, "").to_numpy(zero_copy_only=False)
-            rows = values.filter(pa.array(keep))
-            if pc.any(pc.equal(pc.bit_wise_and(pc.count_substring(rows, '"'), 1), 1)).as_py():
-                raise ValueError(f"a quoted value in {path} holds a line end")
-            yield pa.record_batch([rows], ["value"])
-
-    lines = spark.read.text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block_start")
-    )
-    return (
-        lines.mapInArrow(below_header, "value string")
-        .select(F.from_csv("value", ddl, {"mode": "PERMISSIVE"}).alias("row"))
-        .select("row.*")
-    )
+    return scan_records(spark, path, skip, header).select(F.from_csv("value", ddl, options).alias("row")).select("row.*")
 
 
 def scan_json(spark: SparkSession, path: str, schema: Schema | None = None) -> DataFrame:

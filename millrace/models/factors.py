@@ -86,7 +86,7 @@ def score_pairs(pairs: DataFrame, users: DataFrame, items: DataFrame, *, user: s
     """All pairs with the product of their factors, null where either has none."""
     u = users.select(user, F.col("factors").alias("_u"))
     v = items.select(item, F.col("factors").alias("_v"))
-    return pairs.join(u, user, "left").join(v, item, "left").withColumn(output, dot("_u", "_v")).drop("_u", "_v")
+    return pairs.join(u, user, "left").join(v, item, "left").select(*pairs.columns, dot("_u", "_v").alias(output))
 
 
 def loss(ratings: DataFrame, users: DataFrame, items: DataFrame, *, reg: float, user: str = "user", item: str = "item", rating: str = "rating") -> DataFrame:

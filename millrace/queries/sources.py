@@ -102,6 +102,19 @@ def coerce_long(t):
     return files.coerce(raw, {"balance": "bigint", "code": "bigint"})
 
 
+_AREAS = [(0, "south"), (1, "west"), (2, "east"), (9, "nowhere")]
+
+
+@query(
+    "literal_rows",
+    f"SELECT n_name, area FROM nation JOIN (VALUES {', '.join(f'({k}, {a!r})' for k, a in _AREAS)}) v(k, area) ON n_regionkey = k",
+)
+def literal_rows(t):
+    """Nations with a name for their region from literal rows."""
+    areas = files.from_rows(t.spark, _AREAS, "n_regionkey int, area string")
+    return t.nation.join(areas, "n_regionkey").select("n_name", "area")
+
+
 @query("glob_union", "SELECT * FROM orders")
 def glob_union(t):
     """Files of two layouts (columns in another order) appended by name."""

@@ -68,6 +68,23 @@ def hashing_tf(t):
     return hashed.select("doc_id", vector_to_array("tf").alias("tf"))
 
 
+# The bucket of each word among 20, by the hash of MLlib's HashingTF.
+BUCKETS = {"the": 17, "of": 15, "de": 5, "and": 11, "to": 8, "in": 3, "la": 18, "der": 1, "is": 9, "that": 0, "en": 13, "for": 4}
+
+
+@query(
+    "hashing_tf_terms",
+    f"""SELECT doc_id, bucket, CAST(count(*) AS DOUBLE) AS tf FROM (SELECT doc_id, unnest({_TOKENS}) AS term FROM documents)
+        JOIN (VALUES {", ".join(f"('{w}', {b})" for w, b in BUCKETS.items())}) v(term, bucket) USING (term) GROUP BY doc_id, bucket""",
+)
+def hashing_tf_terms(t):
+    """Hashed frequencies of a dozen words: (doc_id, bucket, tf) of the buckets in use."""
+    tokens = ops.tokenize(F.col("text"))
+    kept = t.documents.select("doc_id", "text").select("doc_id", F.filter(tokens, lambda w: w.isin(*BUCKETS)).alias("tokens"))
+    hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=20).transform(kept)
+    return hashed.select("doc_id", F.posexplode(vector_to_array("tf")).alias("bucket", "tf")).filter("tf > 0")
+
+
 @query(
     "vocabulary_counts",
     f"""SELECT term, count, docs, CAST(row_number() OVER (ORDER BY count DESC, term) - 1 AS INTEGER) AS index FROM

@@ -1,10 +1,13 @@
 """Training documents that hold test items, found by n-gram seeds and scored by alignment.
 
-1. Every run of ``GRAM`` words of an item is a seed, so an edited copy is found by any run that the
-   edits left whole.
-2. Documents that hold a seed are kept with the places of their seeds. A Bloom filter of at
-   most ``bloom.BITS`` bits thins them out on the way; the join on the seed is exact, whatever
-   the filter lets through.
+1. Every run of ``GRAM`` words of an item may be a seed, so an edited copy is found by any run that the
+   edits left whole. Documents that hold a run are kept with its places. A Bloom filter of at most
+   ``bloom.BITS`` bits thins them out on the way (with few items it lets one run in 200,000 pass that is none); the join on the
+   run is exact, whatever the filter lets through.
+2. The documents of each run are counted. A run is rare in up to ``RARE`` of them, or one in ``RARE`` of all that were kept. A rare run is a seed
+   by itself: it proposes its documents to its items. A common run, a turn of phrase or a line that many texts
+   share, proposes none alone, but to an item so short that the run may be all of its score; two different ones do that stand in a
+   document as far apart as in the item, give or take the words that an edit may have put in or taken out.
 3. Around the seeds of an item, Smith-Waterman aligns the words of the document with the
    words of the item (match 2, anything else -1). The score is that of the best alignment over
    that of the whole item, so edited and partly copied items are found too.
@@ -28,9 +31,11 @@ from pyspark.sql import functions as F
 from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, prefix_hash, span_hash, text_key, whole_row, word_hashes
 from millrace.llm.bloom import shared_filter
 from millrace.llm.settings import tuned
+from millrace.operators.relational import one_per_key
 from millrace.workspace import materialize
 
 GRAM = 4
+RARE = 1000
 LEAST = 0.5
 MATCH, MISS = 2, -1
 
@@ -103,6 +108,32 @@ def _score(text: np.ndarray, item: np.ndarray, hits: list[tuple[int, int]], leas
     return best
 
 
+def _proposed(seeded: DataFrame, chosen: DataFrame, least: float) -> DataFrame:
+    """(_k1, _k2, item_id, hits): the items that a document's seeds propose, with the places of all runs they share.
+
+    Counts and pairs come from the runs that documents share with items, a small part of the texts. Hits of one pair are
+    bounded by the document's own places of the item's runs.
+    """
+    hits = seeded.select("_k1", "_k2", F.inline("hits")).distinct()
+    held = hits.join(one_per_key(chosen, ["gram"]), "gram", "left_semi")  # without what only the filter let through
+    counted = one_per_key(held.select("_k1", "_k2", "gram").distinct(), ["gram"], F.count(F.lit(1)).alias("df"))
+    kept = seeded.agg(F.count(F.lit(1))).scalar()
+    runs = chosen.join(counted, "gram").withColumn("rare", F.col("df") <= F.greatest(F.lit(RARE), kept / RARE))
+    length = one_per_key(chosen, ["item_id"], F.max("place").alias("last"))
+    pairs = held.join(runs.join(length, "item_id"), "gram").groupBy("_k1", "_k2", "item_id").agg(
+        F.collect_list(F.struct("at", "place")).alias("hits"), F.max("rare").alias("rare"),
+        F.sort_array(F.collect_list(F.struct((F.col("at") - F.col("place")).alias("low"), "place"))).alias("lows"), F.max("last").alias("last"),
+    )
+    slack = F.floor((F.col("last") + GRAM) / 2) + 8
+    # In order of where the item would begin, two neighbours that are close and of different places.
+    close = F.exists(
+        F.arrays_zip(F.slice("lows", F.lit(1), F.size("lows") - 1).alias("one"), F.slice("lows", F.lit(2), F.size("lows") - 1).alias("other")),
+        lambda x: (x["other"]["low"] - x["one"]["low"] <= slack) & (x["other"]["place"] != x["one"]["place"]),
+    )
+    alone = (F.col("last") + GRAM) * least <= GRAM  # one run of so short an item may be all that its score needs
+    return pairs.filter(F.col("rare") | close | alone).select("_k1", "_k2", "item_id", "hits")
+
+
 def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """(_k1, _k2, doc_id, item_id, score, first_word, end_word, passage): each test item that a document holds."""
     tuned(docs.sparkSession)
@@ -112,7 +143,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
         .filter("item_id is not null").groupBy("item_id").agg(F.array_join(F.sort_array(F.collect_set("text")), " ").alias("text"))
     )
     chosen = materialize(item_grams(items), "seeds")
-    shared = shared_filter(chosen, "gram")
+    shared = shared_filter(chosen, "gram", each=1024)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in blocks(batches, "text"):
@@ -141,29 +172,31 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
         texts.mapInArrow(find, "doc_id bigint, text string, _k1 bigint, _k2 bigint, hits array<struct<gram:bigint,at:bigint>>"), "seeded"
     )
     links = (
-        seeded.select("_k1", "_k2", F.inline("hits")).distinct().join(chosen, "gram")
-        .groupBy("_k1", "_k2", "item_id").agg(F.collect_list(F.struct("at", "place")).alias("hits"))
+        _proposed(seeded, chosen, least)
         .join(items.withColumnRenamed("text", "item"), "item_id")
         .groupBy("_k1", "_k2").agg(F.collect_list(F.struct("item_id", "item", "hits")).alias("items"))
     )
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
+        names = ["_k1", "_k2", "doc_id", "item_id", "score", "first_word", "end_word", "passage"]
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                raw = np.frombuffer(row["text"].encode(), np.uint8)
+            for i in range(batch.num_rows):
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                raw = np.frombuffer(row["text"].as_buffer(), np.uint8) if len(row["text"].as_buffer()) else np.zeros(0, np.uint8)
                 words, text = _hashes(raw, np.array([0, len(raw)]))
-                for link in row["items"]:
-                    own = np.frombuffer(link["item"].encode(), np.uint8)
+                found = row["items"].values
+                for item_id, item_text, hits in zip(found.field("item_id"), found.field("item"), found.field("hits")):
+                    own = np.frombuffer(item_text.as_buffer(), np.uint8)
                     _, item = _hashes(own, np.array([0, len(own)]))
-                    value, a, b = _score(text, item, [(h["at"], h["place"]) for h in link["hits"]], least)
+                    at, place = (hits.values.field(f).to_pylist() for f in ("at", "place"))
+                    value, a, b = _score(text, item, list(zip(at, place)), least)
                     if value >= least:
                         passage = raw[words.starts[a] : words.ends[b - 1]].tobytes().decode("utf-8", "replace")
-                        out.append((row["_k1"], row["_k2"], row["doc_id"], link["item_id"], value, a, b, passage))
-            columns = list(zip(*out)) if out else [[]] * 8
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                  ["_k1", "_k2", "doc_id", "item_id", "score", "first_word", "end_word", "passage"])
+                        out.append((*(row[k].as_py() for k in names[:3]), item_id.as_py(), value, a, b, passage))
+            columns = list(zip(*out)) if out else [[]] * len(names)
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return seeded.drop("hits").join(links, ["_k1", "_k2"]).mapInArrow(
         score, "_k1 bigint, _k2 bigint, doc_id bigint, item_id bigint, score double, first_word bigint, end_word bigint, passage string"

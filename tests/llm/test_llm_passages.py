@@ -102,6 +102,35 @@ def test_items_edited_in_every_phase(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.contaminated(frame, rows).collect()} == want
 
 
+def test_common_runs_propose_only_together(spark, monkeypatch):
+    """A turn of phrase in every item and most texts, a passage in hundreds of copies: the same rows as with all runs rare."""
+    rng = random.Random(17)
+    word = lambda: f"w{rng.randrange(4000)}"
+    phrase = "once upon a time"
+    items = [" ".join([*(word() for _ in range(12)), phrase, *(word() for _ in range(12))]) for _ in range(20)] + [phrase, phrase + " there"]
+    texts = [" ".join([*(word() for _ in range(30)), phrase, *(word() for _ in range(20))]) for _ in range(150)]
+    texts += [f"{word()} {items[3]} {word()}"] * 40  # copies of one text
+    for k in range(12):  # edited at every seventh word
+        words = items[k].split()
+        words[k % 7 :: 7] = [word() for _ in words[k % 7 :: 7]]
+        texts.append(" ".join([word(), *words, word()]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    pairs = []
+    plain = decontamination._proposed
+    monkeypatch.setattr(decontamination, "_proposed", lambda *a: pairs.append(plain(*a)) or pairs[-1])
+
+    def found():
+        return {(r.doc_id, r.item_id): (r.score, r.first_word, r.end_word) for r in decontamination.contaminated(docs, bench).collect()}
+
+    every = found()
+    monkeypatch.setattr(decontamination, "RARE", 8)
+    assert found() == every and {(150 + i, 3) for i in range(40)} <= set(every) and {(190 + k, k) for k in range(12)} <= set(every)
+    assert all((d, 20) in every for d in range(150))  # the phrase is an item as well
+    many, few = (p.filter("item_id < 20").count() for p in pairs)
+    assert many > 150 * 20 and few <= 40 + 12 * 3
+
+
 def test_items_against_odd_rows(spark, odd, none):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog"), (2, None), (None, "a b c d e"), (3, "")],
                                   "item_id bigint, text string")

@@ -40,7 +40,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, text_bytes, whole_row, word_hashes
-from millrace.llm.bloom import Filter, shared_filter
+from millrace.llm.bloom import filled, shared_filter
+from millrace.llm.bloom import plain as _plain
+from millrace.llm.bloom import press as _press
 from millrace.llm.components import components
 from millrace.llm.settings import tuned
 from millrace.operators.relational import one_per_key
@@ -52,10 +54,10 @@ CELLS = 1 << 20
 PIVOTS = 4
 MINOR_BLOCK, MAJOR_BLOCK = 64, 1024
 
-SHARE = 32 << 20  # bytes of text whose shingles are counted in one task
-BODY = 8 << 20
+SHARE = 12 << 20  # bytes of text whose shingles are counted in one task
+BODY = 4 << 20  # bytes of text whose shingles are one packed row
 
-_SLICES = 64
+_SLICES = 64  # of the table of cells
 _DRAWS = 1 << 16
 
 
@@ -194,14 +196,6 @@ def _bands(docs: DataFrame, idf) -> DataFrame:
         sign, "bucket bigint, node bigint").distinct()
 
 
-def _press(x: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(x.tobytes())
-
-
-def _plain(raw: bytes, kind) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), kind)
-
-
 _SENT = "bucket int, body bigint, grams binary, n binary"
 
 
@@ -254,27 +248,9 @@ def _bodies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _gram_filter(bodies: DataFrame):
-    """A broadcast Bloom filter of the shingles of all bodies, merged by the executors in slices."""
+    """A broadcast Bloom filter of the shingles of all bodies."""
     members = bodies.agg(F.sum("size").alias("n")).first().n or 0
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = Filter(members)
-        for batch in batches:
-            for raw in batch.column("grams").to_pylist():
-                part.add(np.unique(_plain(raw, U64)))
-        yield pa.record_batch([pa.array(np.arange(_SLICES)), pa.array([_press(x) for x in np.split(part.bytes, _SLICES)], pa.binary())],
-                              ["slice", "bits"])
-
-    def merge(table: pa.Table) -> pa.Table:
-        whole = np.bitwise_or.reduce([_plain(x, np.uint8) for x in table.column("bits").to_pylist()])
-        return pa.table({"slice": table.column("slice")[:1], "bits": pa.array([whole.tobytes()], pa.binary())})
-
-    schema = "slice bigint, bits binary"
-    whole = Filter(members)
-    step = len(whole.bytes) // _SLICES
-    for row in bodies.select("grams").mapInArrow(fill, schema).groupBy("slice").applyInArrow(merge, schema).collect():
-        whole.bytes[row.slice * step : (row.slice + 1) * step] = np.frombuffer(row.bits, np.uint8)
-    return bodies.sparkSession.sparkContext.broadcast(whole)
+    return filled(bodies.select("grams"), lambda batch: (np.unique(_plain(raw.as_buffer(), U64)) for raw in batch.column("grams")), members)
 
 
 def _vectors(docs: DataFrame, nodes: DataFrame, texts: int) -> DataFrame:
@@ -298,18 +274,22 @@ def _vectors(docs: DataFrame, nodes: DataFrame, texts: int) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for body, raw in zip(batch.column("body").to_pylist(), batch.column("grams").to_pylist()):
-                grams = np.unique(_plain(raw, U64))
+            for body, raw in zip(batch.column("body").to_pylist(), batch.column("grams")):
+                grams = np.unique(_plain(raw.as_buffer(), U64))
                 yield _sent(grams, np.zeros(len(grams), np.int32), buckets, body)
 
     def answer(table: pa.Table) -> pa.Table:
         body = table.column("body").to_numpy()
-        raw, numbers = table.column("grams").to_pylist(), table.column("n").to_pylist()
+        raw, numbers = ([x.as_buffer() for x in table.column(c)] for c in ("grams", "n"))
         known = np.flatnonzero(body < 0).tolist()
         out = []
         if known:
-            grams, place = np.unique(np.concatenate([np.cumsum(_plain(raw[i], U64)) for i in known]), return_inverse=True)
-            df = np.bincount(place, np.concatenate([_plain(numbers[i], np.int32) for i in known])).astype(np.int64)
+            grams = np.concatenate([np.cumsum(_plain(raw[i], U64)) for i in known])
+            df = np.concatenate([_plain(numbers[i], np.int32) for i in known])
+            order = np.argsort(grams, kind="stable")
+            grams, df = grams[order], df[order]
+            heads = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
+            grams, df = grams[heads], np.add.reduceat(df.astype(np.int64), heads)
             often = df > 1  # a shingle without an answer is in one document
             grams, df = grams[often], df[often]
             for i in np.flatnonzero(body >= 0).tolist():
@@ -324,25 +304,26 @@ def _vectors(docs: DataFrame, nodes: DataFrame, texts: int) -> DataFrame:
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                grams, counts = _plain(row["grams"], U64), _plain(row["counts"], np.int32)
+            for i in range(batch.num_rows):  # a row unpacks to the shingles of ``BODY`` bytes of text; one at a time
+                row = {name: batch.column(name)[i] for name in batch.schema.names}
+                grams, counts = _plain(row["grams"].as_buffer(), U64), _plain(row["counts"].as_buffer(), np.int32)
                 df = np.ones(len(grams), np.int64)
-                answers = row["answers"] or []
-                if answers:
-                    known = np.concatenate([np.cumsum(_plain(x["grams"], U64)) for x in answers])
-                    number = np.concatenate([_plain(x["df"], np.int64) for x in answers])
+                if row["answers"].is_valid:
+                    answers = row["answers"].values
+                    known = np.concatenate([np.cumsum(_plain(x.as_buffer(), U64)) for x in answers.field("grams")])
+                    number = np.concatenate([_plain(x.as_buffer(), np.int64) for x in answers.field("df")])
                     order = np.argsort(known)
                     known, number = known[order], number[order]
                     at = np.searchsorted(known, grams).clip(max=len(known) - 1)
                     same = known[at] == grams
                     df[same] = number[at[same]]
                 weights = (counts * _weight(df, texts)).astype(np.float32)
-                marks = np.concatenate([[0], np.cumsum(_plain(row["lengths"], np.int64))]).tolist()
-                own = _plain(row["nodes"], np.int64)
-                for low in range(0, len(own), 1024):
-                    some = list(zip(marks[low:], marks[low + 1 : low + 1025]))
+                marks = np.concatenate([[0], np.cumsum(_plain(row["lengths"].as_buffer(), np.int64))]).tolist()
+                own = _plain(row["nodes"].as_buffer(), np.int64)
+                for low in range(0, len(own), 128):
+                    some = list(zip(marks[low : low + 128], marks[low + 1 : low + 129]))
                     yield pa.record_batch(
-                        [pa.array(own[low : low + 1024]), pa.array([grams[a:b].tobytes() + weights[a:b].tobytes() for a, b in some], pa.binary())],
+                        [pa.array(own[low : low + 128]), pa.array([grams[a:b].tobytes() + weights[a:b].tobytes() for a, b in some], pa.binary())],
                         ["node", "vector"])
 
     counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, _SENT)

@@ -214,6 +214,11 @@ class Tokenizer:
         self.fresh: dict[str, tuple] = {}  # entries of what stands between blanks, as it is written
         self.older: dict[str, tuple] = {}
 
+    def forget(self) -> None:
+        """Drop the remembered words; the vocabulary stays."""
+        for store in (self.ends, self.known, self.known_before, self.fresh, self.older):
+            store.clear()
+
     def _word(self, word: str) -> tuple[int, ...]:
         symbols = "".join([self.letters[b] for b in word.encode()])
         if len(symbols) > 64:
@@ -348,6 +353,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)],
                 ["doc_id", "n_tokens", "ids", "decoded"],
             )
+        tokenizer.forget()  # a worker lives on after its task, beside the tasks of other stages
 
     return _texts(docs).mapInArrow(apply, "doc_id bigint, n_tokens bigint, ids array<int>, decoded string")
 

@@ -46,10 +46,20 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession) -> None:
-    """Delete what this session has written through ``fresh_path``; frames that read it are void afterwards."""
+def written() -> int:
+    """A mark: how many paths this session has been given so far."""
+    return len(_WRITTEN)
+
+
+def discard(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Delete what this session wrote through ``fresh_path`` between two marks; all of it without them.
+
+    Frames that read it are void afterwards, and so are marks above ``since``.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _WRITTEN:
-        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+    paths = _WRITTEN[since:until]
+    del _WRITTEN[since:until]
+    for name in reversed(paths):
+        path = jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(conf).delete(path, True)

@@ -54,14 +54,12 @@ def remove_stopwords(tokens: Column, stop: Sequence[str]) -> Column:
 
 
 def ngrams(tokens: Column, n: int = 2) -> Column:
-    """Blank-joined runs of n tokens; a row with fewer gives an empty array."""
+    """Blank-joined runs of n tokens; a row with fewer gives an empty array. Tokens are not null."""
 
     def joined(words: Column) -> Column:
         count = F.greatest(F.size(words) - (n - 1), F.lit(0))
-        grams = F.slice(words, F.lit(1), count)
-        for k in range(1, n):
-            grams = F.zip_with(grams, F.slice(words, F.lit(k + 1), count), lambda a, b: F.concat_ws(" ", a, b))
-        return grams
+        rest = lambda i: [x for k in range(1, n) for x in (F.lit(" "), F.get(words, i + k))]
+        return F.transform(F.slice(words, F.lit(1), count), lambda w, i: F.concat(w, *rest(i)))
 
     # The one-element array gives the tokens a name, so that they are computed once a row.
     return F.get(F.transform(F.array(tokens), joined), F.lit(0))

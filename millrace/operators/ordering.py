@@ -103,12 +103,14 @@ def quantile_values(
         if 2 * _MARGIN * whole[c]["n"] > _FEW:
             low, high = F.get(edges, cell), F.get(edges, cell + 1)
             part = F.floor(F.least(F.try_divide(v / 2 - low / 2, high / 2 - low / 2), F.lit(1.0)) * (_BINS - 1)).cast("double")
-        cells.append(F.struct(F.lit(c).alias("column"), v.alias("value"), cell.alias("cell"), F.when(cell.isin(sorted(held)), part).alias("part")))
+        cut = v.isin(cuts)  # a value that many rows share is its own bracket
+        part = F.when(cut, v).when(cell.isin(sorted(held)), part)
+        cells.append(F.struct(F.lit(c).alias("column"), v.alias("value"), cell.alias("cell"), cut.alias("cut"), part.alias("part")))
     brackets: dict[tuple[str, int], tuple[float, float, int, int]] = {}  # bounds, values below, values inside
     ranks = {(c, rank) for c in whole for p in probabilities for at in [p * (whole[c]["n"] - 1)] for rank in (math.floor(at), math.ceil(at))}
     if cells:
         counted = (
-            df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull()).groupBy("column", "cell", "part")
+            df.select(F.inline(F.array(*cells))).filter(F.col("value").isNotNull()).groupBy("column", "cell", "cut", "part")
             .agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")).collect()
         )
         for c in whole:

@@ -62,6 +62,21 @@ def key_split(t):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
+@query(
+    "random_split",
+    "SELECT count(*) AS rows, round(sum(o_totalprice), 2) AS total, CAST(0 AS BIGINT) AS shared, true AS near FROM orders",
+)
+def random_split(t):
+    """A seeded random split: its parts have every row once, and about their shares of them."""
+    train, test = ops.random_split(t.orders.select("o_orderkey", "o_totalprice"), [0.7, 0.3], seed=11)
+    both = train.withColumn("train", F.lit(1)).unionByName(test.withColumn("train", F.lit(0)))
+    by_key = both.groupBy("o_orderkey").agg(F.sum("o_totalprice").alias("total"), F.sum("train").alias("train"), F.count(F.lit(1)).alias("n"))
+    return by_key.agg(
+        F.sum("n").alias("rows"), F.round(F.sum("total"), 2).alias("total"),
+        F.count_if(F.col("train").between(1, F.col("n") - 1)).alias("shared"), (F.abs(F.sum("train") / F.sum("n") - 0.7) < 0.05).alias("near"),
+    )
+
+
 _SCALED = ", ".join(
     f"round({x} / (SELECT stddev_samp({x}) FROM coded), 6) AS s{i}"
     for i, x in enumerate(["is_0", "is_1", "is_2", "is_3", "c_acctbal", "c_nationkey"])

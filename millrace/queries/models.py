@@ -380,6 +380,16 @@ def tree_importance(t):
     return splits.importances(nodes).select("feature", F.round("importance", 9).alias("importance"))
 
 
+@query(
+    "importance_total",
+    f"""{_DEPTH2} SELECT count(DISTINCT feature) AS features, round(sum(gain * n), 6) AS total FROM nodes""",
+)
+def importance_total(t):
+    """How many features split that tree, and what all its splits gain."""
+    nodes = _grown(t, 2).table(t.lineitem)
+    return nodes.agg(F.count_distinct("feature").alias("features"), F.round(F.sum(F.col("gain") * F.col("n")), 6).alias("total"))
+
+
 # Three stumps, each on its own columns and its own draw of the rows.
 _MEMBERS = [(BINNED[:2], 2), (BINNED[2:], 3), (BINNED[1:3], 5)]
 

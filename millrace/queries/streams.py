@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from millrace.functions.scalars import has_keyword
 from millrace.registry import query
 from millrace.streaming import counts
-from millrace.streaming.runs import run_append, stream_files
+from millrace.streaming.runs import run_append, stream_files, stream_lines
 from millrace.workspace import fresh_path
 
 
@@ -23,6 +23,18 @@ def stream_word_count(t):
     return counts.word_count(_stream(t, "conversations"), "text")
 
 
+@query(
+    "stream_line_words",
+    """SELECT CAST(0 AS BIGINT) AS batch_id, word, count(*) AS count FROM
+         (SELECT unnest(string_split(c_name || ' in ' || lower(c_mktsegment), ' ')) AS word FROM customer) GROUP BY word""",
+)
+def stream_line_words(t):
+    """Words of a stream of text lines, one line a customer."""
+    path = fresh_path(t.spark, "lines")
+    t.customer.select(F.concat_ws(" ", "c_name", F.lit("in"), F.lower("c_mktsegment")).alias("value")).write.text(path)
+    return counts.word_count(stream_lines(t.spark, path=path), "value")
+
+
 _PARTS = 3
 
 

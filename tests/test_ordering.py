@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
@@ -85,3 +86,41 @@ def test_auc_is_the_rank_statistic(spark):
     expected = sum(1.0 if p > n else 0.5 if p == n else 0.0 for p, n in pairs) / len(pairs)
     df = spark.createDataFrame(data, "label int, score double")
     assert abs(auc(df, "label", "score").first()["auc"] - expected) < 1e-12
+
+
+@pytest.mark.parametrize("few,margin", [(10_000, 0.0015), (50, 0.0015), (50, 0.0), (10_000, 0.0), (1, 0.3)])
+def test_quantiles_whatever_the_sketch_gives(spark, monkeypatch, few, margin):
+    """Brackets too wide to list, or beside the rank, cost scans but no exactness."""
+    monkeypatch.setattr(ordering, "_FEW", few)
+    monkeypatch.setattr(ordering, "_MARGIN", margin)
+    monkeypatch.setattr(ordering, "_BINS", 16)
+    monkeypatch.setattr(ordering, "_SKETCH", 8)
+    chance = np.random.default_rng(6)
+    columns = {
+        "plain": chance.standard_normal(5000), "ties": chance.integers(0, 7, 5000).astype(float), "wide": chance.choice([-1e308, 1e308, 0.0, 5e-324], 5000),
+        "one": np.full(5000, 3.5), "heavy": np.where(chance.random(5000) < 0.9, 1.0, chance.standard_normal(5000)),
+    }
+    df = spark.createDataFrame(pd.DataFrame(columns)).withColumn("none", F.lit(None).cast("double")).withColumn("gaps", F.when(F.col("plain") > 0, F.col("plain")).otherwise(float("nan")))
+    probabilities = (0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0)
+    found, _ = ordering.quantile_values(df, [*columns, "none", "gaps"], probabilities)
+    columns["gaps"] = columns["plain"][columns["plain"] > 0]
+    for (c, p), value in found.items():
+        if c == "none":
+            assert value is None
+            continue
+        x, at = np.sort(columns[c]), p * (len(columns[c]) - 1)
+        low, high = x[int(np.floor(at))], x[int(np.ceil(at))]
+        assert value == low + (high - low) * (at - np.floor(at))
+
+
+def test_quantiles_take_two_scans(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50_000).select((F.col("id") * 7919 % 50_021).cast("double").alias("x"), F.pmod("id", F.lit(13)).cast("double").alias("y"))
+    ordering.quantile_values(df.mapInArrow(counted, df.schema), ["x", "y"], (0.25, 0.5, 0.75))
+    assert read.value == 2 * 50_000

@@ -79,7 +79,7 @@ def count_windows(strings: Strings, span: int) -> np.ndarray:
 def repeated_word_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(_k1, _k2, spans) of the texts that hold a window of ``span`` words that starts elsewhere too."""
     return repeated_windows(
-        docs, seed, span, bucket_bytes, word_units,
+        docs, seed, span, bucket_bytes, 6 * span, word_units,
         lambda strings: count_windows(strings, span),
         lambda strings: np.maximum(np.diff(word_bounds(strings.data, strings.offsets)[2]) - span + 1, 0),
     )

@@ -194,7 +194,7 @@ def count_suffixes(strings: Strings, span: int) -> np.ndarray:
 def repeated_byte_windows(docs: DataFrame, span: int = SPAN, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(_k1, _k2, spans) of the texts that hold a string of ``span`` bytes that starts elsewhere too."""
     return repeated_windows(
-        docs, seed, span, bucket_bytes, byte_units,
+        docs, seed, span, bucket_bytes, span, byte_units,
         lambda strings: count_suffixes(strings, span),
         lambda strings: np.maximum(np.diff(strings.offsets) - span + 1, 0),
     )

@@ -9,6 +9,12 @@ go to the same bucket into one compressed blob.
 A string that occurs twice within a flush is settled there: all its windows repeat.
 Its places are reported at once and one copy, marked as known, goes to the bucket, so a
 passage that fills a third of a table sends one string per flush, not one per place.
+
+A footer shorter than a window stands in many different windows, and its least gram would gather
+them all in one bucket. So grams are counted first, by hashed cells on a seeded sample of the texts, and
+the grams of cells with more than a bucket should hold come last in the order that picks the
+minimiser (``common_cells``): such a window goes by one of its other grams. The order is the same for all
+windows, so equal ones still meet, whatever the sample says.
 """
 
 from __future__ import annotations
@@ -26,6 +32,10 @@ from pyspark.sql import functions as F
 from millrace.llm.blocks import U64, blocks, keyed, mix, ranges, sliding_min, span_hash, text_bytes
 
 FLUSH = 16 << 20
+CELL_BITS = 22
+SAMPLE = 16  # one text in so many is counted
+SAMPLE_LEAST, SAMPLE_MOST = 64 << 20, 4 << 30  # bytes of text, about
+_SLICES = 64
 
 PACKED = "bucket int, kind int, blob binary"
 SPANS = "_k1 bigint, _k2 bigint, spans binary"
@@ -42,9 +52,47 @@ class Units:
     ends: np.ndarray  # byte after a unit
 
 
-def cut(units: Units, seed: int, span: int):
+def common_cells(docs: DataFrame, seed: int, span_bytes: int, bucket_bytes: int, total: int, units: Callable[[np.ndarray, np.ndarray], Units]) -> np.ndarray | None:
+    """Flags of the hashed cells whose grams could fill a quarter of a bucket as minimisers; None where there is none.
+
+    ``docs`` has ``text`` and its hash ``_k2``. The cells are 2^``CELL_BITS`` numbers whatever the corpus, added up by the
+    executors in slices; only flags come back. A rare gram in the cell of a common one is set back with it, at no harm.
+    """
+    share = min(1.0, max(min(1 / SAMPLE, SAMPLE_MOST / max(total, 1)), SAMPLE_LEAST / max(total, 1)))
+    if total <= bucket_bytes:
+        return None
+    least = bucket_bytes / 4 * share / (2 * span_bytes)
+    schema = "slice bigint, cells binary"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(1 << CELL_BITS, np.int32)
+        for _, data, offsets in blocks(batches, "text"):
+            own = units(data, offsets)
+            at = np.arange(max(0, len(own.prefix) - seed))
+            np.add.at(cells, (mix(span_hash(own.prefix, at, at + seed)) >> U64(64 - CELL_BITS)).astype(np.int64), 1)
+        press = zstandard.ZstdCompressor(level=3)
+        parts = [press.compress(x.tobytes()) for x in np.split(cells, _SLICES)]
+        yield pa.record_batch([pa.array(np.arange(_SLICES)), pa.array(parts, pa.binary())], ["slice", "cells"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros((1 << CELL_BITS) // _SLICES, np.int64)
+        for part in table.column("cells"):
+            total += np.frombuffer(zstandard.ZstdDecompressor().decompress(part.as_buffer()), np.int32)
+        flags = np.packbits(total > max(least, 8 * total.mean()))
+        return pa.table({"slice": table.column("slice")[:1], "cells": pa.array([flags.tobytes()], pa.binary())})
+
+    chosen = docs.filter(F.pmod(F.xxhash64(F.lit(3), "_k2"), F.lit(1 << 20)) < int(share * (1 << 20))).select("text")
+    found = {r.slice: r.cells for r in chosen.mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()}
+    if not any(any(raw) for raw in found.values()):
+        return None
+    return np.unpackbits(np.frombuffer(b"".join(found[i] for i in range(_SLICES)), np.uint8)).astype(bool)
+
+
+def cut(units: Units, seed: int, span: int, common: np.ndarray | None = None):
     """Super-k-mers of a block: (text, first window, windows, minimiser, whether it may repeat within).
 
+    Grams of ``common`` cells come last in the order of minimisers.
+
     A string may hold a window twice only if its minimiser occurs twice in it, which
     shows where the minimiser is the first gram of a window that is not its last.
     """
@@ -55,6 +103,8 @@ def cut(units: Units, seed: int, span: int):
         return none, none, none, np.zeros(0, U64), np.zeros(0, bool)
     at = np.arange(grams)
     hashes = mix(span_hash(units.prefix, at, at + seed))
+    if common is not None:
+        hashes = (hashes >> U64(1)) | (common[(hashes >> U64(64 - CELL_BITS)).astype(np.int64)].astype(U64) << U64(63))
     least = sliding_min(hashes, span - seed + 1)
     counts = np.diff(units.first)
     inside = np.zeros(len(units.prefix), bool)  # a window that starts here stays in its text
@@ -76,11 +126,11 @@ def cut(units: Units, seed: int, span: int):
 class Flush:
     """Strings of up to ``FLUSH`` bytes of text, on their way to the buckets."""
 
-    def __init__(self, buckets: int, span: int):
-        self.buckets, self.span, self.parts, self.strings, self.bytes = buckets, span, [], [], 0
+    def __init__(self, buckets: int, span: int, common: np.ndarray | None = None):
+        self.buckets, self.span, self.common, self.parts, self.strings, self.bytes = buckets, span, common, [], [], 0
 
     def add(self, data: np.ndarray, units: Units, seed: int, k1: np.ndarray, k2: np.ndarray) -> None:
-        text, a, windows, least, multi = cut(units, seed, self.span)
+        text, a, windows, least, multi = cut(units, seed, self.span, self.common)
         to = a + windows + self.span - 1  # unit after the last
         raw = data.tobytes()
         low, high = units.starts[a], units.ends[to - 1]
@@ -189,7 +239,7 @@ def _span_batch(k1: np.ndarray, k2: np.ndarray, start: np.ndarray, windows: np.n
 
 
 def repeated_windows(
-    docs: DataFrame, seed: int, span: int, bucket_bytes: int,
+    docs: DataFrame, seed: int, span: int, bucket_bytes: int, span_bytes: int,
     units: Callable[[np.ndarray, np.ndarray], Units],
     count: Callable[[Strings], np.ndarray],
     unit_flags: Callable[[Strings], np.ndarray],
@@ -199,10 +249,14 @@ def repeated_windows(
     ``units(bytes, offsets)`` finds the units of a block. ``count(strings)`` flags, for
     the windows of all strings of a bucket in order, those that repeat, and
     ``unit_flags(strings)`` tells how many windows each string has. The number of buckets
-    follows the bytes of all texts, so that one bucket's strings hold about ``bucket_bytes``.
+    follows the bytes of all texts, so that one bucket's strings hold about ``bucket_bytes``; ``span_bytes``
+    are those of a window, about.
     """
     copies = 1 + 2 * (span - 1) / (span - seed + 2)  # packed bytes for each byte of text, where minimisers are random
-    buckets = max(1, math.ceil(text_bytes(docs) * copies / bucket_bytes))
+    total = text_bytes(docs)
+    buckets = max(1, math.ceil(total * copies / bucket_bytes))
+    texts = keyed(docs).select("_k1", "_k2", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(common_cells(texts, seed, span_bytes, bucket_bytes, total, units))  # 4 MB at most
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(flush: Flush) -> Iterator[pa.RecordBatch]:
@@ -210,11 +264,11 @@ def repeated_windows(
                 yield pa.record_batch([pa.array([b], pa.int32()), pa.array([kind], pa.int32()), pa.array([blob], pa.binary())],
                                       ["bucket", "kind", "blob"])
 
-        flush = Flush(buckets, span)
+        flush = Flush(buckets, span, shared.value)
         for rows, data, offsets in blocks(batches, "text"):
             if flush.bytes and flush.bytes + len(data) > FLUSH:
                 yield from out(flush)
-                flush = Flush(buckets, span)
+                flush = Flush(buckets, span, shared.value)
             flush.add(data, units(data, offsets), seed, rows.column("_k1").to_numpy(), rows.column("_k2").to_numpy())
         yield from out(flush)
 
@@ -252,7 +306,7 @@ def repeated_windows(
             return pa.table({"_k1": pa.array([], pa.int64()), "_k2": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
         return pa.Table.from_batches([_span_batch(*(np.concatenate(x).astype(np.int64) for x in zip(*found)))])
 
-    packed = keyed(docs).select("_k1", "_k2", "text").mapInArrow(pack, PACKED)
+    packed = texts.mapInArrow(pack, PACKED)
     spans = packed.groupBy("bucket").applyInArrow(settle, SPANS)
     return spans.groupBy("_k1", "_k2").agg(F.collect_list("spans").alias("spans"))
 

@@ -120,6 +120,48 @@ def test_a_repeated_string_is_settled_in_the_flush_it_fills():
     assert shipped(500) == shipped(1)
 
 
+FOOTER = " ".join(f"foot{i}" for i in range(20))
+
+
+@pytest.mark.parametrize("module,bound", [(substring_dedup, 2.0), (suffix_dedup, 2.0)])
+def test_a_footer_in_every_text_fills_no_bucket(spark, module, bound):
+    """Different texts with one footer, shorter than a window: no bucket holds twice the median."""
+    rng = random.Random(2)
+    footer = FOOTER if module is substring_dedup else FOOTER[:110]
+    values = [" ".join(f"x{rng.randrange(10**6)}" for _ in range(120)) + "\n" + footer for _ in range(1200)]
+    docs = frame(spark, values)
+    if module is substring_dedup:
+        seed, span, span_bytes, units = 4, 35, 210, substring_dedup.word_units
+    else:
+        seed, span, span_bytes, units = 24, 200, 200, suffix_dedup.byte_units
+    total = sum(map(len, values))
+    common = superkmers.common_cells(superkmers.keyed(docs), seed, span_bytes, total // 16, total, units)
+    assert common is not None and common.sum() < 300
+
+    def sizes(flags):
+        data = np.frombuffer("".join(values).encode(), np.uint8)
+        flush = superkmers.Flush(64, span, flags)
+        flush.add(data, units(data, np.concatenate([[0], np.cumsum([len(v) for v in values])])), seed, np.arange(len(values)), np.arange(len(values)))
+        packed = [len(superkmers._unpack([blob]).data) for _, kind, blob in flush.rows() if kind == superkmers.STRINGS]
+        return max(packed) / np.median(packed)
+
+    assert sizes(common) < bound < sizes(None)
+
+
+def test_common_grams_set_back_change_no_result(spark, monkeypatch):
+    rng = random.Random(12)
+    values = [t + "\n" + FOOTER for t in texts(9)] + [FOOTER + " " + FOOTER] * 2 + [FOOTER]
+    rng.shuffle(values)
+    for module in (substring_dedup, suffix_dedup):
+        plain = {r.doc_id: tuple(r) for r in module.repeat_digests(frame(spark, values)).collect()}
+        asked = []
+        true = superkmers.common_cells
+        with monkeypatch.context() as m:
+            m.setattr(superkmers, "common_cells", lambda docs, seed, span_bytes, bucket_bytes, total, units: asked.append(true(docs, seed, span_bytes, total // 50, total, units)) or asked[-1])
+            assert {r.doc_id: tuple(r) for r in module.repeat_digests(frame(spark, values)).collect()} == plain
+        assert asked[0] is not None and asked[0].any()
+
+
 def test_odd_rows(odd, none):
     for module in (substring_dedup, suffix_dedup):
         got = module.repeat_digests(odd).collect()

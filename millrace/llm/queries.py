@@ -62,7 +62,7 @@ def op1_substring_dedup(spark, folder):
 
 @query("op2_language_id")
 def op2_language_id(spark, folder):
-    return language_id.identify(table(spark, folder, "documents"))
+    return language_id.identify(table(spark, folder, "documents")).select("doc_id", "held_out", "lang_pred", "score", "n_words", "n_switches")
 
 
 @query("op3_decontamination")
@@ -78,7 +78,8 @@ def op4_shards(spark, folder):
 
 @query("op5_order_minhash")
 def op5_order_minhash(spark, folder):
-    return order_minhash.fingerprints(table(spark, folder, "documents"))
+    found = order_minhash.fingerprints(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 @query("op6_suffix_dedup")

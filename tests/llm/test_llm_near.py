@@ -40,13 +40,19 @@ def test_components(spark, shape):
     assert {r.node: r.root for r in got} == want and len(got) == len(want)
 
 
-def exact_classes(texts, idf, least=0.8):
-    vectors = []
-    for text in texts:
-        data = np.frombuffer(text.encode(), np.uint8)
-        _, grams, counts = near_dedup.shingles(data, np.array([0, len(data)]))
-        vectors.append(dict(zip(grams.tolist(), (counts * idf[near_dedup._cell(grams)]).tolist())))
-    edges = [(i, i) for i in range(len(texts))]
+def runs_of(text):
+    """Five-word runs of a text of plain words; a shorter text is one run."""
+    words = text.split()
+    return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) or collections.Counter([tuple(words)] if words else [])
+
+
+def exact_classes(texts, least=0.8):
+    """Classes by all pairs, with document frequencies counted here."""
+    runs = [runs_of(t) for t in texts]
+    df = collections.Counter(run for own in runs for run in own)
+    n = len(texts)
+    vectors = [{k: c * (1 + np.log(n / df[k]) / np.log(n + 1)) for k, c in own.items()} for own in runs]
+    edges = [(i, i) for i in range(n)]
     for i, v in enumerate(vectors):
         for j in range(i):
             w = vectors[j]
@@ -55,7 +61,7 @@ def exact_classes(texts, idf, least=0.8):
             if texts[i] == texts[j] or whole and both / whole >= least:
                 edges.append((i, j))
     found = unions(edges)
-    return [found[i] for i in range(len(texts))]
+    return [found[i] for i in range(n)]
 
 
 def star(rng, n, edits):
@@ -80,9 +86,29 @@ def test_classes(spark, monkeypatch, pivots):
     texts += [texts[3], texts[3], texts[70], "", "", "one two", "one two", "one three"]
     rng.shuffle(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
-    idf = near_dedup.cell_weights(docs)
     got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
-    assert [got[i] for i in range(len(texts))] == exact_classes(texts, idf)
+    assert [got[i] for i in range(len(texts))] == exact_classes(texts)
+
+
+def test_recall_against_all_pairs(spark):
+    """Copies edited at one to four of 300 words: of the pairs of 0.8 and more, at least 0.99 share a class, and no pair without a chain of links does."""
+    rng = random.Random(40)
+    texts = []
+    for k in range(40):
+        base = [f"t{k}w{rng.randrange(900)}" for _ in range(300)]
+        texts.append(" ".join(base))
+        for _ in range(5):
+            words = list(base)
+            for at in rng.sample(range(300), rng.randint(1, 12)):
+                words[at] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
+    want = exact_classes(texts)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if want[i] == want[j]]
+    found = sum(got[i] == got[j] for i, j in pairs)
+    assert len(pairs) > 100 and found >= 0.99 * len(pairs)
+    assert all(want[i] == want[j] for i in range(len(texts)) for j in range(i) if got[i] == got[j])
 
 
 def test_every_link_in_blocks(spark, monkeypatch):
@@ -90,9 +116,8 @@ def test_every_link_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "PIVOTS", 0)
     texts = star(random.Random(5), 25, 5)
     docs = spark.createDataFrame([(100 - i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
-    idf = near_dedup.cell_weights(docs)
     got = {r.doc_id: r.class_id for r in near_dedup.classes(docs).collect()}
-    want = exact_classes(texts, idf)
+    want = exact_classes(texts)
     groups = collections.defaultdict(set)
     for i, c in enumerate(want):
         groups[c].add(100 - i)

@@ -30,6 +30,7 @@ GRAM, BINS = 5, 64
 _PLACE = 26  # bits of a position
 _RANK = 31  # bits that order a bin
 _IDS = 10  # 2**10 neighbouring ids share a group
+_ABSENT = 1 << 12  # groups of rows without an id
 
 
 def bound(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -128,10 +129,12 @@ def with_next(texts: DataFrame) -> DataFrame:
     """(doc_id, own, next): text and signature of each row and of the row with the next lower id.
 
     The lowest is followed by the highest. A group holds at most 2**10 distinct ids,
-    whatever their values. Within it the next row is the one behind; only the last row of
+    whatever their values. Rows without an id come last, in ``_ABSENT`` groups by a hash of their text.
+    Within a group the next row is the one behind; only the last row of
     a group needs the first one of the next group, and only these travel a second time.
     """
-    group = F.shiftright(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))), _IDS).alias("_group")
+    absent = F.lit(-(1 << 54)) - F.pmod(F.xxhash64("text"), F.lit(_ABSENT))  # below the group of any id
+    group = F.when(F.col("doc_id").isNull(), absent).otherwise(F.shiftright("doc_id", _IDS)).alias("_group")
     both = F.struct(F.col("text"), signature(F.col("text")).alias("signature"))
     last = F.col("doc_id").desc_nulls_last()
     order = Window.partitionBy("_group").orderBy(last, "own.text")

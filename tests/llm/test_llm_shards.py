@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from millrace.llm import order_minhash, shards
 
 
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     rng = random.Random(1)
@@ -124,6 +128,20 @@ def test_signatures_and_edits(spark):
         assert r.near_next == pytest.approx(plain_likeness(own, plain_signature(after)))
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """Ten thousand of them: every row has its own next one, they come last, and no group is large."""
+    docs = spark.range(10_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "concat('text of row ', id) AS text")
+    docs = docs.unionAll(spark.createDataFrame([(7, "seven"), (-3, "least")], "doc_id bigint, text string"))
+    chained = order_minhash.with_next(docs).select("doc_id", F.col("own.text").alias("text"), F.col("next.text").alias("next")).cache()
+    assert chained.count() == 10_002
+    assert rows_of(chained.select("next")) == rows_of(chained.select("text"))  # each text follows once
+    by_text = {r.text: r.next for r in chained.filter("doc_id IS NOT NULL").collect()}
+    assert by_text["seven"] == "least" and by_text["least"].startswith("text of row")
+    assert chained.filter("next = 'seven'").first().doc_id is None
+    groups = docs.filter("doc_id IS NULL").groupBy(F.pmod(F.xxhash64("text"), F.lit(order_minhash._ABSENT))).count()
+    assert groups.agg(F.max("count")).first()[0] < 20
+
+
 def test_likeness_follows_order():
     """The same k-mers in another order are less alike; a small edit leaves much alike."""
     base = [f"w{i}" for i in range(400)]

@@ -54,8 +54,8 @@ CELLS = 1 << 20
 PIVOTS = 4
 MINOR_BLOCK, MAJOR_BLOCK = 64, 1024
 
-SHARE = 12 << 20  # bytes of text whose shingles are counted in one task
-BODY = 4 << 20  # bytes of text whose shingles are one packed row
+SHARE = 8 << 20  # bytes of text whose shingles are counted in one task
+BODY = 2 << 20  # bytes of text whose shingles are one packed row
 
 _SLICES = 64  # of the table of cells
 _DRAWS = 1 << 16
@@ -451,16 +451,16 @@ def classes(docs: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, least: float = LEAST) -> DataFrame:
-    """One row of each class, with all its columns: that of the least id (nulls last), then the least text.
+    """One row of each class, with all its columns: that of the least id (nulls last), then the least hash of the text.
 
-    One row of each text is kept first, and the tasks cut their copies before they are shuffled.
+    Which text stays is decided on ids and hashes; whole rows are shuffled once, one of each text, and the
+    tasks cut their copies before.
     """
-
-    def first_of(rows: DataFrame, group: str) -> DataFrame:
-        order = Window.partitionBy(group).orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
-        return rows.withColumn("rank", F.row_number().over(order)).filter("rank = 1").drop("rank")
-
     linked = roots(docs.select("text"), least)
-    texts = first_of(docs.select(whole_row(docs), _text_hash().alias("node")), "node")
-    classed = texts.join(linked, "node", "left").select("row", F.coalesce("root", "node").alias("root"))
-    return first_of(classed, "root").select("row.*")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    ids = one_per_key(docs.select("doc_id", _text_hash().alias("node")), ["node"], F.min(first).alias("first"))
+    named = ids.join(linked, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = one_per_key(named, ["root"], F.min(F.struct("first", "node")).alias("least")).select("least.node")
+    order = Window.partitionBy("node").orderBy(F.col("row.doc_id").asc_nulls_last(), F.col("row.text").asc_nulls_last())
+    texts = docs.select(whole_row(docs), _text_hash().alias("node")).withColumn("rank", F.row_number().over(order)).filter("rank = 1")
+    return texts.join(kept, "node", "left_semi").select("row.*")

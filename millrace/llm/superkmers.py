@@ -33,8 +33,8 @@ from millrace.llm.blocks import U64, blocks, keyed, mix, ranges, sliding_min, sp
 
 FLUSH = 16 << 20
 CELL_BITS = 22
-SAMPLE = 16  # one text in so many is counted
-SAMPLE_LEAST, SAMPLE_MOST = 64 << 20, 4 << 30  # bytes of text, about
+SAMPLE = 64  # one text in so many is counted
+SAMPLE_LEAST, SAMPLE_MOST = 16 << 20, 4 << 30  # bytes of text, about
 _SLICES = 64
 
 PACKED = "bucket int, kind int, blob binary"
@@ -53,7 +53,7 @@ class Units:
 
 
 def common_cells(docs: DataFrame, seed: int, span_bytes: int, bucket_bytes: int, total: int, units: Callable[[np.ndarray, np.ndarray], Units]) -> np.ndarray | None:
-    """Flags of the hashed cells whose grams could fill a quarter of a bucket as minimisers; None where there is none.
+    """Flags of the hashed cells whose grams could fill a bucket as minimisers; None where there is none.
 
     ``docs`` has ``text`` and its hash ``_k2``. The cells are 2^``CELL_BITS`` numbers whatever the corpus, added up by the
     executors in slices; only flags come back. A rare gram in the cell of a common one is set back with it, at no harm.
@@ -61,7 +61,7 @@ def common_cells(docs: DataFrame, seed: int, span_bytes: int, bucket_bytes: int,
     share = min(1.0, max(min(1 / SAMPLE, SAMPLE_MOST / max(total, 1)), SAMPLE_LEAST / max(total, 1)))
     if total <= bucket_bytes:
         return None
-    least = bucket_bytes / 4 * share / (2 * span_bytes)
+    least = bucket_bytes * share / (2 * span_bytes)
     schema = "slice bigint, cells binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,11 +15,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millrace.operators.relational import one_per_key, top_n_per_group
 from millrace.workspace import materialize
 
 BLOCK_ROWS = 2048  # factor rows of a block, about
+USER_BLOCKS, ITEM_BLOCKS = 8, 32  # blocks that meet in a cell, at most
+CELL_ROWS = 1 << 20  # listed rows of a cell, about
+MOST_TASKS = 4096
+SLICE_USERS, SLICE_ITEMS = 256, 2048  # factor rows scored at once
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -113,19 +118,49 @@ def _matrix(rows: pa.StructScalar) -> tuple[pa.Array, np.ndarray]:
     return values.field("key"), factors.flatten().to_numpy().reshape(len(values), -1)
 
 
-def _best(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for users, items in zip(batch.column("users"), batch.column("items")):
-                (user, u), (item, v) = _matrix(users), _matrix(items)
-                by_key = pc.sort_indices(item)  # of equal scores the least item comes first
-                item, v = item.take(by_key), v[by_key.to_numpy()]
-                scores = u @ v.T
-                top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-                yield pa.record_batch(
-                    [user.take(pa.array(np.repeat(np.arange(len(u)), top.shape[1]))), item.take(pa.array(top.ravel())), pa.array(np.take_along_axis(scores, top, 1).ravel())],
-                    ["user", "item", "prediction"],
-                )
+def _best_rows(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of ``v`` and scores of the ``n`` best for each row of ``u``: by falling score, of equals the first row, NaN last.
+
+    ``v`` is scored in slices. After the first, only scores above the n-th best so far are sorted, a few of each slice.
+    """
+    at, best = np.zeros((len(u), 0), np.int64), np.zeros((len(u), 0))
+    for low in range(0, len(v), SLICE_ITEMS):
+        scores = u @ v[low : low + SLICE_ITEMS].T
+        if best.shape[1] < n:
+            rows = np.broadcast_to(np.arange(low, low + scores.shape[1]), scores.shape)
+            at, best = np.concatenate([at, rows], axis=1), np.concatenate([best, scores], axis=1)
+            top = np.argsort(-best, axis=1, kind="stable")[:, :n]
+            at, best = np.take_along_axis(at, top, 1), np.take_along_axis(best, top, 1)
+            continue
+        least = np.where(np.isnan(best[:, -1]), -np.inf, best[:, -1])
+        row, column = np.divmod(np.flatnonzero(scores > least[:, None]), scores.shape[1])
+        if not len(row):
+            continue
+        changed = np.unique(row)
+        owner = np.concatenate([np.repeat(changed, n), row])
+        place = np.concatenate([at[changed].ravel(), column + low])
+        score = np.concatenate([best[changed].ravel(), scores[row, column]])
+        order = np.lexsort((place, -score, owner))
+        starts = np.searchsorted(owner[order], changed)
+        first = order[starts[:, None] + np.arange(n)]
+        at[changed], best[changed] = place[first], score[first]
+    return at, best
+
+
+def _best(n: int, schema: pa.Schema):
+    def run(users: pa.Table, items: pa.Table) -> pa.Table:
+        out = []
+        if users.num_rows and items.num_rows:
+            parts = [_matrix(x) for x in items["items"]]
+            item, v = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            by_key = pc.sort_indices(item)  # of equal scores the least item comes first
+            item, v = item.take(by_key), v[by_key.to_numpy()]
+            for user, u in (_matrix(x) for x in users["users"]):
+                for low in range(0, len(u), SLICE_USERS):
+                    at, best = _best_rows(u[low : low + SLICE_USERS], v, n)
+                    whose = pa.array(np.repeat(np.arange(low, low + len(at)), at.shape[1]))
+                    out.append(pa.record_batch([user.take(whose), item.take(pa.array(at.ravel())), pa.array(best.ravel())], schema=schema))
+        return pa.Table.from_batches(out, schema)
 
     return run
 
@@ -133,15 +168,21 @@ def _best(n: int):
 def top_items(users: DataFrame, items: DataFrame, n: int, *, user: str = "user", item: str = "item") -> DataFrame:
     """The ``n`` best items of the whole catalogue for every user: (user, item, prediction, rank).
 
-    Factors travel in blocks, each block of users to every block of items; a pair of blocks is one matrix product
-    that leaves ``n`` items a user, and the lists of a user are merged and cut to ``n`` again in the tasks. No list above ``n`` is
-    shuffled. Of equal scores the least item is first. The work is users times items, as it must be.
+    Factors travel in blocks, and blocks meet in cells, up to ``USER_BLOCKS`` of users and ``ITEM_BLOCKS`` of items each. A cell
+    leaves ``n`` items a user, and the lists of a user are merged and cut to ``n`` again in the tasks. No list above ``n`` is
+    shuffled. Of equal scores the least item is first. The work is users times items, as it must be; no side is ever broadcast,
+    since Spark cannot foresee how the copies of the blocks add up.
     """
-    user_blocks, _ = _blocked(users, user, "users")
-    item_blocks, slots = _blocked(items, item, "items")
-    every = user_blocks.select("users", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))).alias("slot"))
+    user_blocks, user_slots = _blocked(users, user, "users")
+    item_blocks, item_slots = _blocked(items, item, "items")
+    wide = max(1, min(USER_BLOCKS, CELL_ROWS // (n * BLOCK_ROWS)))
+    across, down = -(-user_slots // wide), -(-item_slots // ITEM_BLOCKS)
+    spread = min(across * down, MOST_TASKS)
+    own, all_x, all_y = F.col("slot"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))), F.explode(F.sequence(F.lit(0), F.lit(down - 1)))
+    left = user_blocks.select((own % across).alias("x"), all_y.alias("y"), "users").repartition(spread, "x", "y")
+    right = item_blocks.select(all_x.alias("x"), (own % down).alias("y"), "items").repartition(spread, "x", "y")
     schema = T.StructType([
         T.StructField("user", users.schema[user].dataType), T.StructField("item", items.schema[item].dataType), T.StructField("prediction", T.DoubleType()),
     ])
-    listed = every.join(item_blocks, "slot").select("users", "items").mapInArrow(_best(n), schema)
+    listed = left.groupBy("x", "y").cogroup(right.groupBy("x", "y")).applyInArrow(_best(n, to_arrow_schema(schema)), schema)
     return top_n_per_group(listed, ["user"], n, F.col("prediction").desc(), F.col("item"))

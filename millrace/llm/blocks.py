@@ -6,7 +6,9 @@ are maximal runs of bytes other than 0x20 and 0x09-0x0D.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import numpy as np
@@ -194,6 +196,34 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int = BLOCK):
             row = to
 
 
+def give_back() -> None:
+    """Return the memory of freed arrays to the machine; allocators keep it else, and a worker outlives its task."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # elsewhere than with glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A step over batches whose worker gives its memory back at the end of the task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from step(batches)
+        give_back()
+
+    return run
+
+
+def lean_group(step: Callable[[pa.Table], pa.Table]):
+    """A step over a group whose worker gives its memory back after each."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = step(table)
+        give_back()
+        return out
+
+    return run
+
+
 def text_key() -> list[Column]:
     """Two columns that tell texts apart: the id and a hash of the text (and of the id's absence).
 

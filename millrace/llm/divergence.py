@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import ranges, text_arrays, word_hashes
+from millrace.llm.blocks import give_back, lean, lean_group, ranges, text_arrays, word_hashes
 from millrace.operators.relational import one_per_key, top_n_per_group
 from millrace.workspace import materialize
 
@@ -97,7 +97,7 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
     """Where the runs of equal values start, and the end."""
     if not len(sorted_values):
         return np.zeros(1, np.int64)
-    return np.concatenate([[0], np.flatnonzero(np.diff(sorted_values)) + 1, [len(sorted_values)]])
+    return np.concatenate([[0], np.flatnonzero(sorted_values[1:] != sorted_values[:-1]) + 1, [len(sorted_values)]])
 
 
 # --- 1: chunks of blocks ---------------------------------------------------------------------------
@@ -120,6 +120,25 @@ def _texts_of_size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(kept)
 
 
+def _chunks_of(texts: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct chunks of some texts, and of each chunk in them its number and its text's.
+
+    The words themselves are let go of here; what stays is narrow, as blocks are what a task holds.
+    """
+    lists = pc.ascii_split_whitespace(texts.combine_chunks())
+    coded = lists.flatten().dictionary_encode()
+    doc = np.repeat(np.arange(len(lists), dtype=np.int32), pc.list_value_length(lists).to_numpy())
+    del lists
+    chunks, at = coded.dictionary, coded.indices.to_numpy()
+    empty = pc.index(chunks, "").as_py()  # before and after white space at the ends of a text
+    if empty >= 0:
+        some = at != empty
+        at, doc = at[some], doc[some]
+        at -= at > empty
+        chunks = pa.concat_arrays([chunks.slice(0, empty), chunks.slice(empty + 1)])
+    return chunks, at, doc
+
+
 def _count_chunks(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, names = TaskContext.get().partitionId(), [f.split()[0] for f in BLOCKS.split(", ")]
@@ -135,20 +154,23 @@ def _count_chunks(buckets: int):
                 pa.array([_small(group)], pa.binary()), pa.array([langs.to_pylist()], pa.list_(pa.string())),
                 pa.array([sources.to_pylist()], pa.list_(pa.string())),
             ], names)
-            lists = pc.ascii_split_whitespace(table["text"].combine_chunks())
-            words, doc = lists.flatten(), pc.list_parent_indices(lists).to_numpy().astype(np.int64)
-            some = pc.greater(pc.binary_length(words), 0)
-            words, doc = words.filter(some), doc[some.to_numpy(zero_copy_only=False)]
-            if not len(words):
+            chunks, at, doc = _chunks_of(table["text"])
+            give_back()
+            if not len(at):
                 continue
-            chunks, at = _encoded(words)
-            del words, lists
             bucket = _buckets_of(chunks, buckets)
             order = np.argsort(bucket, kind="stable")
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
-            pair, count = np.unique(rank[at] * table.num_rows + doc, return_counts=True)
-            chunk_of, doc_of = np.divmod(pair, table.num_rows)
+            pair = rank[at]
+            pair *= table.num_rows
+            pair += doc
+            del at, doc
+            pair.sort()
+            marks = _runs(pair)
+            count = np.diff(marks)
+            chunk_of, doc_of = np.divmod(pair[marks[:-1]], table.num_rows)
+            del pair, marks
             per_chunk = np.bincount(chunk_of, minlength=len(order))
             bounds = _runs(bucket[order])
             ends = np.concatenate([[0], np.cumsum(per_chunk)])
@@ -224,6 +246,11 @@ def _place_terms(terms: pa.Table, lists: pa.Table) -> pa.Table:
 
 def _count_terms(parts: int):
     def run(blocks: pa.Table, placed: pa.Table) -> pa.Table:
+        out = count(blocks, placed)
+        give_back()
+        return out
+
+    def count(blocks: pa.Table, placed: pa.Table) -> pa.Table:
         """Of one block: documents and occurrences of each term by language and source, for each language and bucket of terms."""
         names = [f.split()[0] for f in COUNTED.split(", ")]
         kinds = [pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), *[pa.binary()] * 4]
@@ -237,19 +264,21 @@ def _count_terms(parts: int):
             keys, counts, at = [], [], 0
             for bucket, packed in zip(placed["bucket"].to_pylist(), placed["places"]):
                 places, row = _large(packed.as_buffer()), rows[bucket]
-                docs, count = _postings(blocks["packed"][row].as_py())
+                docs, often = _postings(blocks["packed"][row].as_py())
                 per_chunk = _large(blocks["docs"][row].as_buffer())
                 starts = np.cumsum(per_chunk) - per_chunk
                 times = per_chunk[places]
                 pick = np.repeat(starts[places], times) + ranges(times)
                 keys.append(np.repeat(term_at[at : at + len(places)], times) * len(group) + docs[pick])
-                counts.append(count[pick])
+                counts.append(often[pick])
                 at += len(places)
-            key, count = np.concatenate(keys), np.concatenate(counts)
+            key, often = np.concatenate(keys), np.concatenate(counts)
+            del keys, counts
             order = np.argsort(key, kind="stable")
             key = key[order]
             runs = _runs(key)
-            n = np.add.reduceat(count[order], runs[:-1])  # a document holds a term once, whatever the chunks
+            n = np.add.reduceat(often[order], runs[:-1])  # a document holds a term once, whatever the chunks
+            del often, order
             term, doc = np.divmod(key[runs[:-1]], len(group))
             lang_names, lang_of = _encoded(pa.array(langs, pa.string()))
             lang_names = lang_names.to_pylist()
@@ -321,9 +350,9 @@ def term_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     texts = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")])
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     buckets = LEAST_BUCKETS + size // BUCKET_BYTES
-    blocks = materialize(texts.mapInArrow(_count_chunks(buckets), BLOCKS), "chunks")
+    blocks = materialize(texts.mapInArrow(lean(_count_chunks(buckets)), BLOCKS), "chunks")
     lists = blocks.filter("bucket >= 0").select("block", "bucket", "chunks", "docs")
-    numbered = materialize(lists.groupBy("bucket").applyInArrow(_number_chunks, NUMBERED), "numbered-chunks")
+    numbered = materialize(lists.groupBy("bucket").applyInArrow(lean_group(_number_chunks), NUMBERED), "numbered-chunks")
     lowered = F.translate("chunk", UPPER, LOWER)
     terms = materialize(
         numbered.filter("id IS NOT NULL").select("bucket", "id", "docs", F.explode(F.regexp_extract_all(lowered, F.lit(TERM), F.lit(0))).alias("term")),
@@ -335,7 +364,7 @@ def term_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFra
     placed = known.groupBy("bucket").cogroup(ids.groupBy("bucket")).applyInArrow(_place_terms, PLACED)
     postings = blocks.select("block", "bucket", "docs", "packed", "langs", "sources")
     counted = postings.groupBy("block").cogroup(placed.groupBy("block")).applyInArrow(_count_terms(buckets), COUNTED)
-    added = materialize(counted.groupBy("lang", "part").applyInArrow(_add_up(least), ADDED), "term-counts")
+    added = materialize(counted.groupBy("lang", "part").applyInArrow(lean_group(_add_up(least)), ADDED), "term-counts")
     named = blocks.filter("bucket < 0").select(F.explode(F.arrays_zip("langs", "sources")).alias("g"))
     return named.select(F.col("g.langs").alias("lang"), F.col("g.sources").alias("source")).distinct(), added
 

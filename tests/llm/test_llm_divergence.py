@@ -2,6 +2,7 @@
 
 import re
 import string
+import weakref
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from conftest import rows
 from llm_rows import none, odd  # noqa: F401
 from pyspark.sql import functions as F
 
-from millrace.llm import divergence
+from millrace.llm import blocks, divergence
 
 COLUMNS = ["lang", "source", "part", "item", "value", "rank"]
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -131,3 +132,32 @@ def test_odd_rows(spark, odd, none):  # noqa: F811
 def test_terms_of_other_scripts(spark, least):
     docs = [("Straße ÄÖ 東京 İstanbul ﬁ K", "de", f"s{i % 3}") for i in range(12)] + [("straße äö 東京", "de", "s0")] * 4
     assert audited(spark, docs, least=least) == plain(docs, least)
+
+
+def test_chunks_of_texts_are_narrow():
+    """Distinct chunks, their numbers and texts without empty ones, in four bytes each: a task holds them for a whole block."""
+    texts = ["a b a", "  b\tc ", "", "   ", "c", "\u00e9 a"]
+    chunks, at, doc = divergence._chunks_of(pa.chunked_array([texts[:2], texts[2:]], pa.string()))
+    words = chunks.to_pylist()
+    assert sorted(words) == ["a", "b", "c", "\u00e9"] and at.dtype == doc.dtype == np.int32
+    assert [(int(d), words[i]) for d, i in zip(doc, at)] == [(d, w) for d, t in enumerate(texts) for w in t.split()]
+    assert all(len(x) == 0 for x in divergence._chunks_of(pa.chunked_array([["", " "]], pa.string())))
+
+
+def test_steps_give_memory_back(monkeypatch):
+    """At the end of a task, when its arrays are free, and after each group."""
+    class Held:
+        pass
+
+    calls, held = [], []
+
+    def step(batches):
+        own = Held()
+        held.append(weakref.ref(own))
+        yield from batches
+
+    monkeypatch.setattr(blocks, "give_back", lambda: calls.append(held[0]() is None if held else None))
+    assert list(blocks.lean(step)(iter([1, 2]))) == [1, 2] and calls == [True]
+    assert blocks.lean_group(lambda table: table + 1)(1) == 2 and len(calls) == 2
+    monkeypatch.undo()
+    blocks.give_back()

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64
+from millrace.llm.blocks import U64, lean
 
 BITS = 1 << 27
 SLICES = 64
@@ -76,7 +76,7 @@ def filled(rows: DataFrame, hashes_of: Callable[[pa.RecordBatch], Iterator[np.nd
 
     whole = Filter(members, each)
     step = len(whole.bytes) // SLICES
-    for row in rows.mapInArrow(fill, schema).groupBy("slice").applyInArrow(merge, schema).collect():
+    for row in rows.mapInArrow(lean(fill), schema).groupBy("slice").applyInArrow(merge, schema).collect():
         whole.bytes[row.slice * step : (row.slice + 1) * step] = plain(row.bits, np.uint8)
     return rows.sparkSession.sparkContext.broadcast(whole)
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import crf
-from millrace.llm.blocks import LETTER, U64, Words, blocks, byte_prefix, folded_words, mix, ranges, span_hash
+from millrace.llm.blocks import LETTER, U64, Words, blocks, byte_prefix, folded_words, lean, mix, ranges, span_hash
 from millrace.llm.settings import tuned
 
 PER_LANGUAGE, TRAIN_BYTES = 150, 8000
@@ -229,7 +229,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
                                   ["doc_id", "lang_pred", "score", "n_words", "n_switches"])
 
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(apply, "doc_id bigint, lang_pred string, score double, n_words bigint, n_switches bigint")
+    return texts.mapInArrow(lean(apply), "doc_id bigint, lang_pred string, score double, n_words bigint, n_switches bigint")
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -257,4 +257,4 @@ def accepted(docs: DataFrame, least: float = ACCEPTED) -> DataFrame:
                 good &= known_share(field.known, words, words.first) >= np.array([limit.get(n, 0.0) for n in names])
             yield rows.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(apply, docs.schema)
+    return docs.mapInArrow(lean(apply), docs.schema)

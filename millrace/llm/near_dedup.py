@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, mix, prefix_hash, span_hash, text_bytes, whole_row, word_hashes
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, lean, lean_group, mix, prefix_hash, span_hash, text_bytes, whole_row, word_hashes
 from millrace.llm.bloom import filled, shared_filter
 from millrace.llm.bloom import plain as _plain
 from millrace.llm.bloom import press as _press
@@ -115,7 +115,7 @@ def _cell_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
         return pa.table({"slice": table.column("slice")[:1], "texts": pa.array([texts], pa.int64()), "cells": pa.array([total.tobytes()], pa.binary())})
 
     schema = "slice bigint, texts bigint, cells binary"
-    rows = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema).collect()
+    rows = docs.select("text").mapInArrow(lean(count), schema).groupBy("slice").applyInArrow(add, schema).collect()
     counts = np.zeros(CELLS, np.int64)
     texts = 1
     for row in rows:
@@ -193,7 +193,7 @@ def _bands(docs: DataFrame, idf) -> DataFrame:
             yield pa.record_batch([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(nodes, BANDS))], ["bucket", "node"])
 
     return docs.select(_text_hash().alias("_node"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        sign, "bucket bigint, node bigint").distinct()
+        lean(sign), "bucket bigint, node bigint").distinct()
 
 
 _SENT = "bucket int, body bigint, grams binary, n binary"
@@ -244,7 +244,7 @@ def _bodies(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     texts = docs.select(_text_hash().alias("node"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(thin, "node bigint, text string")
     # Copies are put together in the tasks before they are shuffled.
     return texts.groupBy("node").agg(F.min("text").alias("text")).join(nodes, "node", "left_semi").mapInArrow(
-        build, "body bigint, nodes binary, lengths binary, grams binary, counts binary, size bigint")
+        lean(build), "body bigint, nodes binary, lengths binary, grams binary, counts binary, size bigint")
 
 
 def _gram_filter(bodies: DataFrame):
@@ -326,12 +326,12 @@ def _vectors(docs: DataFrame, nodes: DataFrame, texts: int) -> DataFrame:
                         [pa.array(own[low : low + 128]), pa.array([grams[a:b].tobytes() + weights[a:b].tobytes() for a, b in some], pa.binary())],
                         ["node", "vector"])
 
-    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, _SENT)
-    asked = bodies.select("body", "grams").mapInArrow(ask, _SENT)
-    answers = counted.unionAll(asked).groupBy("bucket").applyInArrow(answer, "body bigint, grams binary, df binary")
+    counted = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(lean(count), _SENT)
+    asked = bodies.select("body", "grams").mapInArrow(lean(ask), _SENT)
+    answers = counted.unionAll(asked).groupBy("bucket").applyInArrow(lean_group(answer), "body bigint, grams binary, df binary")
     per_body = answers.groupBy("body").agg(F.collect_list(F.struct("grams", "df")).alias("answers"))
     return bodies.join(per_body, "body", "left").select("nodes", "lengths", "grams", "counts", "answers").mapInArrow(
-        weigh, "node bigint, vector binary")
+        lean(weigh), "node bigint, vector binary")
 
 
 def _vector(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -359,7 +359,7 @@ def _verified(pairs: DataFrame, vectors: DataFrame, least: float) -> DataFrame:
     return (
         pairs.join(vectors.select(F.col("node").alias("a"), F.col("vector").alias("one")), "a")
         .join(vectors.select(F.col("node").alias("b"), F.col("vector").alias("other")), "b")
-        .select("a", "b", "one", "other").mapInArrow(check, "a bigint, b bigint")
+        .select("a", "b", "one", "other").mapInArrow(lean(check), "a bigint, b bigint")
     )
 
 

@@ -43,6 +43,7 @@ def cluster_sizes(assigned: DataFrame, cluster: str = "prediction") -> DataFrame
     return assigned.groupBy(cluster).count()
 
 
+SLICE = 4096  # points measured at once
 SAMPLE = 4096  # distinct points at most that starting centres are chosen from
 
 
@@ -66,6 +67,23 @@ def _starts(points: DataFrame, point: str, ks: Sequence[int], seed: int) -> dict
     return {k: rows[chosen[:k]] for k in ks}
 
 
+def _nearest_centre(columns: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each point (the first of equals) and the squared distance, by whole columns of a few points' worth of cache."""
+    own, least = np.zeros(columns.shape[1], np.intp), None
+    for j, centre in enumerate(centres):
+        apart = np.zeros(columns.shape[1])
+        for column, middle in zip(columns, centre):
+            off = column - middle
+            off *= off
+            apart += off
+        if least is None:
+            least = apart
+        else:
+            np.putmask(own, apart < least, j)
+            np.minimum(least, apart, out=least)
+    return own, least
+
+
 def lloyd_sums(points: DataFrame, point: str, centres: Mapping[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """For each k, of its given centres: rows, sums of the points nearest to each (the first of equals), and the cost. One scan for all k.
 
@@ -80,13 +98,14 @@ def lloyd_sums(points: DataFrame, point: str, centres: Mapping[int, np.ndarray])
             x = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
             if not len(x):
                 continue
-            for k, c in models.items():
-                apart = np.stack([((x - one) ** 2).sum(axis=1) for one in c], axis=1)
-                own = apart.argmin(axis=1)
-                for i in range(x.shape[1]):
-                    sums[k][:, i] += np.bincount(own, x[:, i], len(c))
-                sums[k][:, -2] += np.bincount(own, minlength=len(c))
-                sums[k][:, -1] += np.bincount(own, apart[np.arange(len(x)), own], len(c))
+            for low in range(0, len(x), SLICE):
+                columns = np.ascontiguousarray(x[low : low + SLICE].T)
+                for k, c in models.items():
+                    own, apart = _nearest_centre(columns, c)
+                    for i, column in enumerate(columns):
+                        sums[k][:, i] += np.bincount(own, column, len(c))
+                    sums[k][:, -2] += np.bincount(own, minlength=len(c))
+                    sums[k][:, -1] += np.bincount(own, apart, len(c))
         for k, found in sums.items():
             centre, at = np.indices(found.shape)
             yield pa.record_batch(

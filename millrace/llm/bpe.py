@@ -28,6 +28,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -37,12 +38,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.blocks import blocks, lean
 from millrace.llm.settings import tuned
 
 PIECE = 1 << 16
-STORED_WORDS = 400_000
+STORED = 400_000  # entries of a worker's stores that does nothing else
+STORED_IN_TURN = 100_000  # of one that takes turns with those of other operators
 _NEVER = 1 << 60
-_EMPTY = (0, "", b"")
 
 
 def byte_letters() -> list[str]:
@@ -56,8 +58,8 @@ def byte_letters() -> list[str]:
 class Merges:
     """A merge list, with what follows from it: how each token came about, and which may stand side by side."""
 
-    def __init__(self, vocab: dict[str, int], merges: Iterable, suffix: str):
-        self.suffix = suffix
+    def __init__(self, vocab: dict[str, int], merges: Iterable, suffix: str, stored: int = STORED):
+        self.suffix, self.stored = suffix, stored
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in merges]
         self.rank = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
         made = {a + b: (vocab[a], vocab[b]) for a, b in pairs}
@@ -93,7 +95,7 @@ class Merges:
         key = a << 20 | b
         known = self.follows.get(key)
         if known is None:
-            if len(self.follows) > 2 * STORED_WORDS:
+            if len(self.follows) > 2 * self.stored:
                 self.follows.clear()
             known = self.follows[key] = self.may_follow(a, b)
         return known
@@ -187,23 +189,40 @@ class ByteText:
         return self.machine.decode(b"", True)
 
 
+class Spelling:
+    """Byte strings of tokens, laid end to end for a whole array of ids."""
+
+    def __init__(self, pieces: list[bytes]):
+        self.pieces = pa.array(pieces, pa.binary())
+
+    def of(self, ids: np.ndarray) -> bytes:
+        if not len(ids):
+            return b""
+        _, marks, raw = self.pieces.take(pa.array(ids)).buffers()
+        return raw.slice(0, int(np.frombuffer(marks, np.int32)[len(ids)])).to_pybytes()
+
+
 class Tokenizer:
     """A byte-level BPE vocabulary with word ends, read from its JSON description."""
 
-    def __init__(self, source: bytes):
+    def __init__(self, source: bytes, stored: int = STORED):
+        self.stored = stored
         spec = json.loads(source)
         model = spec["model"]
         self.letters = byte_letters()
-        self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"] or "")
+        self.merges = Merges(model["vocab"], model["merges"], model["end_of_word_suffix"] or "", stored)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         ids = model["vocab"] | self.special
         self.names = [""] * (max(ids.values()) + 1)
         for token, i in ids.items():
             self.names[i] = token
         self.named = [t.encode() for t in self.names]
-        self.decimal = [str(i) for i in range(len(self.names))]
+        # Tokens as digests read them, each with the space that stands before it.
+        self.decimals = Spelling([b" %d" % i for i in range(len(self.names))])
+        self.library = Spelling([b" " + name for name in self.named])
         back = {letter: b for b, letter in enumerate(self.letters)}
         self.plain = [self._plain(i, back) for i in range(len(self.names))]
+        self.readable = Spelling(self.plain)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         pattern = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")["pattern"]["Regex"]
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
@@ -211,12 +230,12 @@ class Tokenizer:
         self.ends: dict[str, int] = {}  # last token of a word's beginning
         self.known: dict[str, tuple] = {}  # tokens of words
         self.known_before: dict[str, tuple] = {}
-        self.fresh: dict[str, tuple] = {}  # entries of what stands between blanks, as it is written
-        self.older: dict[str, tuple] = {}
+        self.fresh: dict[str, bytes] = {}  # packed tokens of what stands between blanks, as it is written
+        self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
-        """Drop the remembered words; the vocabulary stays."""
-        for store in (self.ends, self.known, self.known_before, self.fresh, self.older):
+        """Drop the remembered words and pairs; the vocabulary stays."""
+        for store in (self.ends, self.known, self.known_before, self.fresh, self.older, self.merges.follows):
             store.clear()
 
     def _word(self, word: str) -> tuple[int, ...]:
@@ -225,7 +244,7 @@ class Tokenizer:
             machine = Transducer(self.merges)
             return tuple([*machine.feed(symbols), *machine.finish()])
         # The transducer's states of a short word, shared with all words that begin alike.
-        if len(self.ends) > STORED_WORDS:
+        if len(self.ends) > self.stored:
             self.ends.clear()
         last, ends, inner, pair = [-1], self.ends, self.merges.inner, self.merges.pair
         n = len(symbols)
@@ -250,8 +269,8 @@ class Tokenizer:
             i -= self.length[last[i]]
         return tuple(out[::-1])
 
-    def _entry(self, written: str) -> tuple:
-        """(tokens, ids as text, bytes as the library writes them) of what stands between two blanks."""
+    def _entry(self, written: str) -> bytes:
+        """Tokens of what stands between two blanks, as 32-bit numbers: all that is kept of it, since hundreds of thousands are."""
         found = self.older.get(written)
         if found is None:
             ids: list[int] = []
@@ -264,19 +283,19 @@ class Tokenizer:
                     if own is None:
                         own = self.known_before.get(word) or self._word(word)
                         if len(word) <= 64:
-                            if len(self.known) >= STORED_WORDS // 2:
+                            if len(self.known) >= self.stored // 2:
                                 self.known_before, self.known = self.known, {}
                             self.known[word] = own
                     ids += own
-            found = (len(ids), " ".join([self.decimal[i] for i in ids]), b" ".join([self.named[i] for i in ids]))
+            found = struct.pack(f"={len(ids)}i", *ids)
         if len(written) <= 64:
-            if len(self.fresh) >= STORED_WORDS:
+            if len(self.fresh) >= self.stored:
                 self.older, self.fresh = self.fresh, {}
             self.fresh[written] = found
         return found
 
-    def entries(self, text: str) -> Iterator[list[tuple]]:
-        """Entries of what stands between the blanks and line ends of a text, a bounded piece at a time.
+    def pieces(self, text: str) -> Iterator[np.ndarray]:
+        """Tokens of a text, a bounded piece of it at a time, cut at blanks and line ends.
 
         No token, no special string and no composed character reaches across them.
         """
@@ -288,15 +307,12 @@ class Tokenizer:
             written = text[at:to].replace("\n", " ").split(" ")
             found = list(map(self.fresh.get, written))
             if None in found:
-                found = [x or self._entry(w) for x, w in zip(found, written)]
-            if _EMPTY in found:
-                found = [x for x in found if x[0]]
-            yield found
+                found = [self._entry(w) if x is None else x for x, w in zip(found, written)]
+            yield np.frombuffer(b"".join(found), np.int32)
             at = to
 
     def encode(self, text: str) -> list[int]:
-        written = " ".join([entry[1] for found in self.entries(text) for entry in found])
-        return np.fromstring(written, np.int32, sep=" ").tolist()
+        return [i for own in self.pieces(text) for i in own.tolist()]
 
     def library_text(self) -> ByteText:
         """Decoding as the file asks: it names no decoder, so tokens are written out with a space between."""
@@ -314,16 +330,16 @@ class Tokenizer:
         return bytes(back[c] for c in body) + (b" " if body != name else b"")
 
 
-_loaded: dict[str, Tokenizer] = {}
+_loaded: dict[tuple, Tokenizer] = {}
 
 
-def _tokenizer(source) -> Tokenizer:
+def _tokenizer(source, stored: int = STORED) -> Tokenizer:
     """The worker's tokenizer, built on first use."""
     raw = source.value
-    key = hashlib.sha256(raw).hexdigest()
+    key = hashlib.sha256(raw).hexdigest(), stored
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Tokenizer(raw)
+        _loaded[key] = Tokenizer(raw, stored)
     return _loaded[key]
 
 
@@ -337,25 +353,33 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def _encoded(tokenizer: Tokenizer, rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of ``encode``; the ids stay packed, a Python number for each would take nine times the space."""
+    ids, ends, decoded = [np.zeros(0, np.int32)], [0], []
+    for text in rows.column("text").to_pylist():
+        machine, parts, total = tokenizer.plain_text(), [], ends[-1]
+        for own in tokenizer.pieces(text):
+            ids.append(own)
+            total += len(own)
+            parts.append(machine.take(tokenizer.readable.of(own)))
+        ends.append(total)
+        decoded.append("".join([*parts, machine.finish()]))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids), pa.int32()))
+    return pa.record_batch([rows.column("doc_id"), pa.array(np.diff(ends), pa.int64()), lists, pa.array(decoded, pa.string())],
+                           ["doc_id", "n_tokens", "ids", "decoded"])
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): tokens of every text, and the readable text they stand for."""
     source = _source(docs, path)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(source)
-        for batch in batches:
-            ids = [tokenizer.encode(text) for text in batch.column("text").to_pylist()]
-            decoded = []
-            for own in ids:
-                machine = tokenizer.plain_text()
-                decoded.append(machine.feed(own) + machine.finish())
-            yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded)],
-                ["doc_id", "n_tokens", "ids", "decoded"],
-            )
-        tokenizer.forget()  # a worker lives on after its task, beside the tasks of other stages
+        tokenizer = _tokenizer(source, STORED_IN_TURN)
+        for rows, _, _ in blocks(batches, "text"):
+            yield _encoded(tokenizer, rows)
+        _loaded.clear()  # a worker lives on after its task, beside those of other tasks and stages
 
-    return _texts(docs).mapInArrow(apply, "doc_id bigint, n_tokens bigint, ids array<int>, decoded string")
+    return _texts(docs).mapInArrow(lean(apply), "doc_id bigint, n_tokens bigint, ids array<int>, decoded string")
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -368,17 +392,17 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
             totals, ids_out, text_out = [], [], []
             for text in batch.column("text").to_pylist():
                 total, ids, decoded, machine = 0, hashlib.sha256(), hashlib.sha256(), tokenizer.library_text()
-                for found in tokenizer.entries(text):
-                    if found:
-                        counts, names, raw = zip(*found)
-                        ids.update(((" " if total else "") + " ".join(names)).encode())
-                        decoded.update(machine.take(b" ".join(raw)).encode())
-                        total += sum(counts)
+                for own in tokenizer.pieces(text):
+                    if len(own):
+                        ids.update(memoryview(tokenizer.decimals.of(own))[not total :])
+                        decoded.update(machine.take(tokenizer.library.of(own)[1:]).encode())
+                        total += len(own)
                 decoded.update(machine.finish().encode())
                 totals.append(total)
                 ids_out.append(ids.hexdigest())
                 text_out.append(decoded.hexdigest())
             yield pa.record_batch([batch.column("doc_id"), pa.array(totals, pa.int64()), pa.array(ids_out), pa.array(text_out)],
                                   ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        tokenizer.forget()
 
-    return _texts(docs).mapInArrow(apply, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return _texts(docs).mapInArrow(lean(apply), "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, mix, prefix_hash, span_hash, text_key, whole_row, word_hashes
+from millrace.llm.blocks import U64, blocks, folded_words, gram_hashes, keyed, lean, mix, prefix_hash, span_hash, text_key, whole_row, word_hashes
 from millrace.llm.bloom import shared_filter
 from millrace.llm.settings import tuned
 from millrace.operators.relational import one_per_key
@@ -65,7 +65,7 @@ def item_grams(items: DataFrame) -> DataFrame:
             yield pa.record_batch([rows.column("item_id").take(pa.array(text)), pa.array(place), pa.array(grams.view(np.int64))],
                                   ["item_id", "place", "gram"])
 
-    return items.mapInArrow(apply, "item_id bigint, place bigint, gram bigint")
+    return items.mapInArrow(lean(apply), "item_id bigint, place bigint, gram bigint")
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
@@ -169,7 +169,7 @@ def contaminated(docs: DataFrame, items: DataFrame, least: float = LEAST) -> Dat
                                   ["doc_id", "text", "_k1", "_k2", "hits"])
 
     seeded = materialize(
-        texts.mapInArrow(find, "doc_id bigint, text string, _k1 bigint, _k2 bigint, hits array<struct<gram:bigint,at:bigint>>"), "seeded"
+        texts.mapInArrow(lean(find), "doc_id bigint, text string, _k1 bigint, _k2 bigint, hits array<struct<gram:bigint,at:bigint>>"), "seeded"
     )
     links = (
         _proposed(seeded, chosen, least)

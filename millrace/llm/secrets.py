@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import crf
-from millrace.llm.blocks import IS_SPACE, U64, WORD, blocks, byte_prefix, mix, span_hash, text_arrays
+from millrace.llm.blocks import IS_SPACE, U64, WORD, blocks, byte_prefix, lean, mix, span_hash, text_arrays
 from millrace.llm.settings import tuned
 
 TEXTS, TRAIN_BYTES, ROUNDS = 300, 20_000, 40
@@ -219,7 +219,7 @@ def _run(docs: DataFrame, model, make, schema: str) -> DataFrame:
             texts = rows.column("text").to_pylist()
             yield make(rows, texts, spans_of([t or "" for t in texts], shared.value, data, offsets))
 
-    return docs.mapInArrow(apply, schema)
+    return docs.mapInArrow(lean(apply), schema)
 
 
 def scan(docs: DataFrame) -> DataFrame:

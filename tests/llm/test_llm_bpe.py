@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from conftest import SMALL
 from llm_rows import none, odd  # noqa: F401
@@ -94,6 +95,29 @@ def test_bytes_wait_for_their_character(ours):
     assert machine.feed([0xC3]) + machine.finish() == "�"
 
 
+def test_packed_rows(ours, library):
+    """What ``encode`` makes of a batch: ids and readable text of every row, also of empty ones."""
+    texts = ["", "Sun, don't (we) go?", " ", "ab" * 3000 + " x", "é<|endoftext|>漢字 👍🏽"]
+    rows = bpe._encoded(ours, pa.record_batch([pa.array([3, None, 5, 6, 7], pa.int64()), pa.array(texts)], ["doc_id", "text"]))
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert rows.column("ids").to_pylist() == want and rows.column("n_tokens").to_pylist() == list(map(len, want))
+    machines = [ours.plain_text() for _ in texts]
+    assert rows.column("decoded").to_pylist() == [m.feed(own) + m.finish() for m, own in zip(machines, want)]
+
+
+def test_a_worker_remembers_a_bounded_number_of_packed_tokens(library):
+    """More words than the stores hold: results stay right, the stores stay within their size, and an entry is no more than its tokens."""
+    with open(PATH, "rb") as file:
+        small = bpe.Tokenizer(file.read(), 200)
+    text = " ".join(f"w{i * 7919 % 1000}ord, q{i}" for i in range(1500))
+    assert small.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert 0 < len(small.fresh) + len(small.older) <= 400 and len(small.known) + len(small.known_before) <= 200
+    assert len(small.ends) <= 264 and len(small.merges.follows) <= 401  # a word adds up to 64 beginnings
+    assert all(type(x) is bytes and len(x) % 4 == 0 for x in small.fresh.values())
+    small.forget()
+    assert not (small.fresh or small.older or small.known or small.known_before or small.ends or small.merges.follows)
+
+
 def test_query(spark, library):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = {r.doc_id: r.text for r in docs.collect()}

@@ -143,7 +143,7 @@ def gram_hashes(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarr
         none = np.zeros(0, np.int64)
         return none.astype(U64), none, none
     grams = mix(fixed_hash(prefix_hash(hashes), n))
-    text = np.searchsorted(first, np.arange(len(grams)), "right") - 1
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))[: len(grams)]
     good = np.flatnonzero(np.arange(len(grams)) + n <= first[text + 1])
     return grams[good], text[good], good
 

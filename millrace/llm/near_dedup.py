@@ -59,6 +59,7 @@ BODY = 2 << 20  # bytes of text whose shingles are one packed row
 
 _SLICES = 64  # of the table of cells
 _DRAWS = 1 << 16
+_ROUNDING = np.float32(1e-3)  # far more than single precision loses in a value
 
 
 def _text_hash() -> Column:
@@ -75,7 +76,10 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     if len(short):
         whole = span_hash(prefix_hash(hashes), words.first[short], words.first[short + 1])
         grams, text = np.concatenate([grams, mix(whole)]), np.concatenate([text, short])
-    order = np.lexsort((grams, text))
+    order = np.argsort(grams)
+    # By text then: numpy sorts 16-bit numbers by counting them.
+    own = text[order]
+    order = order[np.argsort(own.astype(np.uint16) if len(offsets) <= 1 << 16 else own, kind="stable")]
     grams, text = grams[order], text[order]
     new = np.ones(len(grams), bool)
     new[1:] = (grams[1:] != grams[:-1]) | (text[1:] != text[:-1])
@@ -98,8 +102,9 @@ def _cell_counts(docs: DataFrame) -> tuple[np.ndarray, int]:
         cells, texts = np.zeros(CELLS, np.int32), 0
         for _, data, offsets in blocks(batches, "text"):
             text, grams, _ = shingles(data, offsets)
-            pairs = np.unique(text * CELLS + _cell(grams)) % CELLS
-            cells += np.bincount(pairs, minlength=CELLS).astype(np.int32)
+            cell = _cell(grams)
+            pairs = np.flatnonzero((text[1:] != text[:-1]) | (cell[1:] != cell[:-1])) + 1  # cells are in order within a text
+            cells += np.bincount(cell[np.append(0, pairs)] if len(cell) else cell, minlength=CELLS).astype(np.int32)
             texts += len(offsets) - 1
         if texts:
             press = zstandard.ZstdCompressor(level=3)
@@ -139,7 +144,8 @@ class Sampler:
     """Consistent weighted samples: a pair of shingle and level that two sets share as often as they are alike.
 
     The random numbers of a shingle come from a fixed table, addressed by a hash of the shingle
-    for each sample.
+    for each sample. The shingle of the least value is the sample. One number of the table bounds a value
+    from below, so values are worked out only where that bound does not rule a shingle out.
     """
 
     def __init__(self, samples: int, seed: int = 5):
@@ -148,24 +154,35 @@ class Sampler:
         self.log_c = np.log(rng.gamma(2, 1, _DRAWS)).astype(np.float32)
         self.beta = rng.random(_DRAWS, np.float32)
         self.inverse = (1 / self.r).astype(np.float32)
+        self.floor = self.log_c - self.r - _ROUNDING
         self.factors = rng.integers(1, 1 << 62, samples, dtype=U64) * U64(2) + U64(1)
 
+    def _values(self, draw: np.ndarray, log_w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        beta = self.beta[draw]
+        level = np.floor(log_w * self.inverse[draw] + beta)
+        return level, self.log_c[draw] - self.r[draw] * (level + np.float32(1) - beta)
+
     def samples(self, grams: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """One 64-bit value for each sample of a weighted set."""
         best = np.full(len(self.factors), np.inf, np.float32)
         out = np.zeros(len(self.factors), U64)
         log_w = np.log(weights).astype(np.float32)
+        sample = np.arange(len(best))
         for at in range(0, len(grams), 1024):  # bounded memory for long texts
-            own = grams[at : at + 1024]
-            draw = ((own[:, None] * self.factors) >> U64(48)).astype(np.uint16)
-            beta = self.beta[draw]
-            level = np.floor(log_w[at : at + 1024, None] * self.inverse[draw] + beta)
-            value = self.log_c[draw] - self.r[draw] * (level + np.float32(1) - beta)
-            first = value.argmin(0)
-            column = np.arange(len(first))
-            low = value[first, column]
+            own, log_own = grams[at : at + 1024], log_w[at : at + 1024]
+            draw = ((self.factors[:, None] * own) >> U64(48)).view(np.int64)
+            value = self.floor.take(draw)
+            value -= log_own
+            likely = value.argmin(1)
+            bound = np.minimum(best, self._values(draw[sample, likely], log_own[likely])[1])
+            places = np.flatnonzero(value <= bound[:, None])
+            value.fill(np.inf)
+            value.ravel()[places] = self._values(draw.ravel()[places], log_own[places % len(own)])[1]
+            first = value.argmin(1)
+            low = value[sample, first]
             better = low < best
-            pick = mix(own[first] ^ (level[first, column].astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)))
+            level = self._values(draw[sample, first], log_own[first])[0]
+            pick = mix(own[first] ^ (level.astype(np.int64).view(U64) * U64(0x9E3779B97F4A7C15)))
             out[better], best[better] = pick[better], low[better]
         return out
 
@@ -183,13 +200,12 @@ def _bands(docs: DataFrame, idf) -> DataFrame:
             weights = counts * idf.value[_cell(grams)]
             marks = np.append(np.flatnonzero(np.append(True, text[1:] != text[:-1])), len(text))
             nodes = rows.column("_node").to_numpy()[text[marks[:-1]]]
-            keys = np.empty((len(nodes), BANDS), U64)
+            drawn = np.empty((len(nodes), BANDS, ROWS), U64)
             for i, (a, b) in enumerate(zip(marks[:-1].tolist(), marks[1:].tolist())):
-                drawn = sampler.samples(grams[a:b], weights[a:b]).reshape(BANDS, ROWS)
-                key = np.arange(BANDS).astype(U64)
-                for k in range(ROWS):
-                    key = mix(key * power + drawn[:, k])
-                keys[i] = key
+                drawn[i] = sampler.samples(grams[a:b], weights[a:b]).reshape(BANDS, ROWS)
+            keys = np.broadcast_to(np.arange(BANDS).astype(U64), (len(nodes), BANDS))
+            for k in range(ROWS):
+                keys = mix(keys * power + drawn[:, :, k])
             yield pa.record_batch([pa.array(keys.ravel().view(np.int64)), pa.array(np.repeat(nodes, BANDS))], ["bucket", "node"])
 
     return docs.select(_text_hash().alias("_node"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(

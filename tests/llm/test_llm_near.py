@@ -138,6 +138,34 @@ def test_samples_agree_as_often_as_sets_are_alike():
     assert abs((x == y).mean() - want) < 0.05
 
 
+@pytest.mark.parametrize("n", [1, 300, 1024, 2500])
+def test_samples_are_the_least_of_all_values(monkeypatch, n):
+    """Against every value worked out; few are, where sets are large."""
+    rng = np.random.default_rng(n)
+    sampler = near_dedup.Sampler(64)
+    grams = near_dedup.mix(rng.integers(1, 1 << 62, n).astype(np.uint64))
+    grams[n // 2 :: 2] ^= np.uint64(1)  # some share their random numbers with a neighbour
+    weights = (1 + rng.integers(0, 30, n) ** 3 * rng.random(n)).astype(np.float32)
+    draw = ((grams[:, None] * sampler.factors) >> np.uint64(48)).astype(np.int64)
+    level, value = sampler._values(draw, np.log(weights)[:, None])
+    first = value.argmin(0)
+    won = level[first, np.arange(64)].astype(np.int64).view(np.uint64)
+    want = near_dedup.mix(grams[first] ^ (won * np.uint64(0x9E3779B97F4A7C15)))
+    plain, sizes = near_dedup.Sampler._values, []
+    monkeypatch.setattr(near_dedup.Sampler, "_values", lambda self, draw, log_w: sizes.append(draw.size) or plain(self, draw, log_w))
+    assert (sampler.samples(grams, weights) == want).all()
+    assert n < 300 or sum(sizes) < 64 * n / 2
+
+
+def test_shingles_of_more_texts_than_16_bits_count():
+    texts = ["a b c d e f a b c d e", "", "one two"] * 30_000
+    raw = [t.encode() for t in texts]
+    text, grams, counts = near_dedup.shingles(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum(list(map(len, raw)))]))
+    assert len(text) == 30_000 * 7 and (np.diff(text) >= 0).all() and counts.sum() == 30_000 * 8
+    assert (np.bincount(text, minlength=90_000).reshape(-1, 3) == [6, 0, 1]).all()
+    assert (grams.reshape(-1, 7) == grams[:7]).all() and (np.diff(grams.reshape(-1, 7)[:, :6].astype(object)) > 0).all()
+
+
 def test_document_frequencies_cover_all_documents(spark):
     docs = spark.createDataFrame([(i, "one two three four five" + (" six" if i % 2 else "")) for i in range(100)], "doc_id bigint, text string")
     data = np.frombuffer(b"one two three four five six", np.uint8)

@@ -334,3 +334,36 @@ def test_models_are_scored_in_one_scan(spark, tables):
     for name, model in fits.items():
         alone = model.transform(assemble(lines, columns)).groupBy("label", "prediction").count()
         assert rows(stored.groupBy("label", name).count()) == rows(alone)
+
+
+def test_compared_models_are_fitted_on_cells_and_equal_fits_on_rows(spark, monkeypatch):
+    hashed = [F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) for i in range(4)]
+    df = spark.range(30_000).select(  # more rows than MLlib draws its thresholds from: skewed, of few values, open, constant
+        "id", F.exp(hashed[0] / 20).alias("skewed"), (F.pmod(hashed[1], F.lit(7)) - 3).cast("double").alias("few"),
+        (hashed[2] + F.col("id") / 1e5).alias("open"), F.lit(2.0).alias("constant"),
+        F.when(hashed[0] / 20 + hashed[1] % 7 * 5 + hashed[2] / 50 + hashed[3] / 100 > 60, 1.0).otherwise(0.0).alias("label"),
+    )
+    columns, params = ["skewed", "few", "open", "constant"], {"gbt": {"maxIter": 4}}
+    train, test = df.filter("id % 10 < 7"), df.filter("id % 10 >= 7")
+    data = assemble(train, columns).select("features", "label").persist()
+    kinds = {"tree": trees.DecisionTreeClassifier, "forest": trees.RandomForestClassifier, "gbt": trees.GBTClassifier}
+    fits = {name: kind(labelCol="label", seed=5, **params.get(name, {})).fit(data) for name, kind in kinds.items()}
+    expected = trees.compare_predictions(trees.stored_predictions(test, fits, columns, "label"), list(kinds)).drop("rows", "unscored")
+    read = {}
+    for name, kind in kinds.items():
+        monkeypatch.setattr(kind, "fit", lambda self, df, name=name, fit=kind.fit: read.update({name: df.count()}) or fit(self, df))
+    found = trees.compare_models(train, test, columns, "label", seed=5, params=params)
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in expected.collect()}
+    assert read["forest"] == 21_000 and read["tree"] == read["gbt"] < 15_000  # cells, at most 32 x 7 x 32 x 2
+
+
+def test_categories_and_draws_of_rows_are_fitted_on_rows(spark, monkeypatch):
+    df = spark.range(400).select((F.col("id") % 4).cast("double").alias("kind"), (F.col("id") % 2).cast("double").alias("label"))
+    named = df.withColumn("kind", F.col("kind").alias("kind", metadata={"ml_attr": {"type": "nominal", "vals": list("abcd")}}))
+    read = []
+    fit = trees.GBTClassifier.fit
+    monkeypatch.setattr(trees.GBTClassifier, "fit", lambda self, df: read.append(df.count()) or fit(self, df))
+    for data, params in ((named, {"maxIter": 1}), (df, {"maxIter": 1, "subsamplingRate": 0.5}), (df, {"maxIter": 1})):
+        found = trees.compare_models(data, data, ["kind"], "label", seed=1, params={"gbt": params})
+        assert {r["model"] for r in found.collect()} == {"tree", "forest", "gbt"}
+    assert read == [400, 400, 4]

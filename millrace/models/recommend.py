@@ -26,6 +26,9 @@ def ratings_table(df: DataFrame, user: Column, item: Column, rating: Column) ->
 
 _INT = (-(1 << 31), (1 << 31) - 1)
 
+FEWEST_BLOCKS = 10  # MLlib's default
+BLOCK_RATINGS = 1 << 22  # ratings of a block of users or items, about
+
 
 def with_int_ids(ratings: DataFrame) -> DataFrame:
     """Ids as MLlib's factorisation wants them: 32-bit ``user_id`` and ``item_id``.
@@ -45,7 +48,17 @@ def with_int_ids(ratings: DataFrame) -> DataFrame:
 
 
 def fit_als(ratings: DataFrame, *, seed: int, max_iter: int = 5, reg: float = 0.01, **params) -> ALSModel:
-    """Fit on ``user_id, item_id, rating``."""
+    """Fit on ``user_id, item_id, rating``.
+
+    A task holds a block of users or items: its ratings and the factors they meet. MLlib makes ten blocks whatever the
+    table; here there are more from ``FEWEST_BLOCKS`` times ``BLOCK_RATINGS`` ratings on, so a task's memory does not grow.
+    The number is odd then, as ids go to blocks by their remainder. The random start depends on the number of blocks, so
+    a fit is MLlib's of the same seed and the same blocks.
+    """
+    blocks = -(-ratings.count() // BLOCK_RATINGS)
+    if blocks > FEWEST_BLOCKS:
+        # Blocks wait on disk, so the heap is for the tasks; files of earlier rounds are deleted after each checkpoint.
+        params = {"numUserBlocks": blocks | 1, "numItemBlocks": blocks | 1, "intermediateStorageLevel": "DISK_ONLY", "checkpointInterval": 1} | params
     als = ALS(
         userCol="user_id", itemCol="item_id", ratingCol="rating",
         maxIter=max_iter, regParam=reg, seed=seed, coldStartStrategy="nan", **params,

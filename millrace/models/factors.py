@@ -22,9 +22,11 @@ from millrace.workspace import materialize
 
 BLOCK_ROWS = 2048  # factor rows of a block, about
 USER_BLOCKS, ITEM_BLOCKS = 8, 32  # blocks that meet in a cell, at most
+FEW_CELLS, MOST_ITEM_BLOCKS = 64, 128  # where there are more cells than a few, they have up to so many blocks of items
 CELL_ROWS = 1 << 20  # listed rows of a cell, about
 MOST_TASKS = 4096
 SLICE_USERS, SLICE_ITEMS = 256, 2048  # factor rows scored at once
+_TINY = 1e-290  # products above it keep their precision
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -108,22 +110,32 @@ def _blocked(table: DataFrame, key: str, output: str) -> tuple[DataFrame, int]:
     """Rows (slot, output list of (key, factors)), a block of about ``BLOCK_ROWS`` each, and the number of slots."""
     slots = -(-max(1, table.count()) // BLOCK_ROWS)
     slot = F.pmod(F.xxhash64(key), F.lit(slots)).cast("int").alias("slot")
-    blocks = table.select(slot, F.struct(F.col(key).alias("key"), F.col("factors").cast("array<double>").alias("factors")).alias("_row"))
+    short = table.schema["factors"].dataType.elementType == T.FloatType()  # floats travel as they are
+    factors = F.col("factors") if short else F.col("factors").cast("array<double>")
+    blocks = table.select(slot, F.struct(F.col(key).alias("key"), factors.alias("factors")).alias("_row"))
     return blocks.groupBy("slot").agg(F.collect_list("_row").alias(output)), slots
 
 
 def _matrix(rows: pa.StructScalar) -> tuple[pa.Array, np.ndarray]:
     values = rows.values
     factors = values.field("factors")
-    return values.field("key"), factors.flatten().to_numpy().reshape(len(values), -1)
+    return values.field("key"), factors.flatten().to_numpy().reshape(len(values), -1).astype(float, copy=False)
 
 
-def _best_rows(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _joined(blocks: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    parts = [_matrix(x) for x in blocks]
+    return pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _best_rows(u: np.ndarray, v: np.ndarray, n: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rows of ``v`` and scores of the ``n`` best for each row of ``u``: by falling score, of equals the first row, NaN last.
 
-    ``v`` is scored in slices. After the first, only scores above the n-th best so far are sorted, a few of each slice.
+    ``v`` is scored in slices. After the first, only scores above the n-th best so far are sorted, a few of each slice; in the
+    first too where ``floor`` gives a score below the n best of each row of ``u``.
     """
     at, best = np.zeros((len(u), 0), np.int64), np.zeros((len(u), 0))
+    if floor is not None:
+        at, best = np.full((len(u), n), len(v)), np.repeat(floor[:, None], n, axis=1)
     for low in range(0, len(v), SLICE_ITEMS):
         scores = u @ v[low : low + SLICE_ITEMS].T
         if best.shape[1] < n:
@@ -147,19 +159,39 @@ def _best_rows(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
     return at, best
 
 
+def _bounds(u: np.ndarray, longest: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of ``u`` a score below the ``n`` best of ``longest``, and the norm a row needs to score more, as uv <= |u| |v|.
+
+    Both leave room for rounding and are -inf where nothing follows: the n-th best is not positive, or numbers are out of range.
+    """
+    nth = np.concatenate([-np.partition(-(u[low : low + SLICE_USERS] @ longest.T), n - 1, axis=1)[:, n - 1] for low in range(0, len(u), SLICE_USERS)])
+    norm = np.hypot.reduce(u, axis=1)
+    with np.errstate(invalid="ignore", over="ignore"):
+        floor = nth - 1e-9 * norm * np.hypot.reduce(longest, axis=1).max()
+    known = np.isfinite(floor) & (floor > _TINY) & (norm > _TINY)
+    unknown = np.full(len(u), -np.inf)
+    return np.where(known, floor, unknown), np.divide(floor, norm, out=unknown.copy(), where=known)
+
+
 def _best(n: int, schema: pa.Schema):
     def run(users: pa.Table, items: pa.Table) -> pa.Table:
         out = []
         if users.num_rows and items.num_rows:
-            parts = [_matrix(x) for x in items["items"]]
-            item, v = pa.concat_arrays([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+            item, v = _joined(items["items"])
             by_key = pc.sort_indices(item)  # of equal scores the least item comes first
             item, v = item.take(by_key), v[by_key.to_numpy()]
-            for user, u in (_matrix(x) for x in users["users"]):
-                for low in range(0, len(u), SLICE_USERS):
-                    at, best = _best_rows(u[low : low + SLICE_USERS], v, n)
-                    whose = pa.array(np.repeat(np.arange(low, low + len(at)), at.shape[1]))
-                    out.append(pa.record_batch([user.take(whose), item.take(pa.array(at.ravel())), pa.array(best.ravel())], schema=schema))
+            user, u = _joined(users["users"])
+            norms = np.nan_to_num(np.hypot.reduce(v, axis=1), nan=np.inf, posinf=np.inf)
+            probed = max(n, SLICE_ITEMS)
+            unknown = np.full(len(u), -np.inf)
+            floor, least = _bounds(u, v[np.argpartition(-norms, probed)[:probed]], n) if len(v) > probed else (unknown, unknown)
+            order = np.argsort(least, kind="stable")
+            for low in range(0, len(u), SLICE_USERS):
+                mine = order[low : low + SLICE_USERS]
+                long = np.flatnonzero(norms >= least[mine[0]])
+                at, best = _best_rows(u[mine], v[long], n, floor[mine] if np.isfinite(least[mine[0]]) else None)
+                whose = pa.array(np.repeat(mine, at.shape[1]))
+                out.append(pa.record_batch([user.take(whose), item.take(pa.array(long[at.ravel()])), pa.array(best.ravel())], schema=schema))
         return pa.Table.from_batches(out, schema)
 
     return run
@@ -168,15 +200,17 @@ def _best(n: int, schema: pa.Schema):
 def top_items(users: DataFrame, items: DataFrame, n: int, *, user: str = "user", item: str = "item") -> DataFrame:
     """The ``n`` best items of the whole catalogue for every user: (user, item, prediction, rank).
 
-    Factors travel in blocks, and blocks meet in cells, up to ``USER_BLOCKS`` of users and ``ITEM_BLOCKS`` of items each. A cell
-    leaves ``n`` items a user, and the lists of a user are merged and cut to ``n`` again in the tasks. No list above ``n`` is
-    shuffled. Of equal scores the least item is first. The work is users times items, as it must be; no side is ever broadcast,
-    since Spark cannot foresee how the copies of the blocks add up.
+    Factors travel in blocks, and blocks meet in cells, up to ``USER_BLOCKS`` of users and ``ITEM_BLOCKS`` of items each, or
+    ``MOST_ITEM_BLOCKS`` where that leaves enough cells. A cell leaves ``n`` items a user, and the lists of a user are merged
+    and cut to ``n`` again in the tasks. No list above ``n`` is shuffled. Of equal scores the least item is first. An item is
+    scored unless its norm shows that it cannot be listed, so the work is users times items at worst; no side is ever
+    broadcast, since Spark cannot foresee how the copies of the blocks add up.
     """
     user_blocks, user_slots = _blocked(users, user, "users")
     item_blocks, item_slots = _blocked(items, item, "items")
     wide = max(1, min(USER_BLOCKS, CELL_ROWS // (n * BLOCK_ROWS)))
-    across, down = -(-user_slots // wide), -(-item_slots // ITEM_BLOCKS)
+    across = -(-user_slots // wide)
+    down = max(-(-item_slots // MOST_ITEM_BLOCKS), min(-(-item_slots // ITEM_BLOCKS), -(-FEW_CELLS // across)))
     spread = min(across * down, MOST_TASKS)
     own, all_x, all_y = F.col("slot"), F.explode(F.sequence(F.lit(0), F.lit(across - 1))), F.explode(F.sequence(F.lit(0), F.lit(down - 1)))
     left = user_blocks.select((own % across).alias("x"), all_y.alias("y"), "users").repartition(spread, "x", "y")
